@@ -85,10 +85,12 @@ def group_quantiles(
             ).alias("_wants")
         )
     )
-    condition = [counted[k].eqNullSafe(targets[k]) for k in [*keys, "_bucket"]]
-    candidates = counted.join(targets, condition, "inner").select(
-        *[counted[k] for k in keys], counted["_bucket"], "_value", "_n", "_total", "_wants"
+    renamed = targets.select(
+        *[F.col(k).alias(f"_at_{k}") for k in [*keys, "_bucket"]], "_total", "_wants"
     )
+    # Groups may have null keys.
+    same = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in [*keys, "_bucket"]]
+    candidates = counted.join(renamed, same, "inner")
     within = (
         Window.partitionBy(*keys, "_bucket")
         .orderBy("_value")
