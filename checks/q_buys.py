@@ -195,7 +195,8 @@ quart AS (
   SELECT period_cd, pcmdty_id, buyer_is_otlt_chain_ind, count(*) AS n_rows, max(max_prc) AS max_prc,
     quantile_disc(stdzn_prc, 0.25) AS p025_prc, quantile_disc(stdzn_prc, 0.75) AS p075_prc
   FROM std GROUP BY ALL HAVING count(*) >= 5),
-limits AS (SELECT *, p025_prc - 1.5 * (p075_prc - p025_prc) AS li, p075_prc + 1.5 * (p075_prc - p025_prc) AS ls FROM quart),
+limits AS (SELECT *, CAST(p025_prc - 1.5 * (p075_prc - p025_prc) AS DECIMAL(30,12)) AS li,
+           CAST(p075_prc + 1.5 * (p075_prc - p025_prc) AS DECIMAL(30,12)) AS ls FROM quart),
 outs AS (
   SELECT s.*, li, ls FROM std s JOIN limits l ON l.period_cd = s.period_cd AND l.pcmdty_id = s.pcmdty_id
     AND l.buyer_is_otlt_chain_ind = s.buyer_is_otlt_chain_ind

@@ -15,6 +15,7 @@ from pricemill.operators.buys import MIN_PRICE, flag
 PRODUCT_MONTH = ["period_cd", "pcmdty_id"]
 CHANNEL_MONTH = ["period_cd", "pcmdty_id", "buyer_is_otlt_chain_ind"]
 LIMIT = "decimal(38,12)"
+SHARE = "decimal(22,12)"  # leaves room for the products below
 
 CLEAN = [
     "dsupp_proc_id", "trans_dt", "seller_otlt_cd", "buyer_otlt_cd", "buyer_is_otlt_chain_ind",
@@ -73,7 +74,7 @@ def groups_with_min_rows(df: DataFrame, keys: list[str] = CHANNEL_MONTH, n: int
 def standardise_price(df: DataFrame, keys: list[str] = PRODUCT_MONTH) -> DataFrame:
     """Price as a share of the largest price of the product and month."""
     top = df.groupBy(*keys).agg(F.max("ppp_prc_amt").alias("_max"))
-    share = F.try_divide(F.col("ppp_prc_amt"), F.col("_max")).cast(LIMIT)
+    share = F.try_divide(F.col("ppp_prc_amt"), F.col("_max")).cast(SHARE)
     return df.join(top, keys, "inner").select(*df.columns, share.alias("stdzn_prc"))
 
 
@@ -89,7 +90,7 @@ def iqr_limits(df: DataFrame, *, min_rows: int = 5, k: float = 1.5) -> DataFrame
     ).filter(F.col("n_rows") >= min_rows)
 
     def share(name: str):
-        return F.try_divide(F.col(name), F.col("max_prc")).cast(LIMIT)
+        return F.try_divide(F.col(name), F.col("max_prc")).cast(SHARE)
 
     spread = (F.col("p075_prc") - F.col("p025_prc")) * F.lit(k).cast("decimal(4,2)")
     return (
@@ -106,7 +107,7 @@ def iqr_limits(df: DataFrame, *, min_rows: int = 5, k: float = 1.5) -> DataFrame
 
 def iqr_outliers(df: DataFrame, limits: DataFrame) -> DataFrame:
     """Lines outside their limits: both sides for non-medicines, the lower one for medicines."""
-    share = F.try_divide(F.col("ppp_prc_amt"), F.col("max_prc")).cast(LIMIT)
+    share = F.try_divide(F.col("ppp_prc_amt"), F.col("max_prc")).cast(SHARE)
     joined = df.join(limits, CHANNEL_MONTH, "inner").withColumn("stdzn_prc", share)
     too_low = F.col("stdzn_prc") < F.col("li")
     too_high = (F.col("stdzn_prc") > F.col("ls")) & (F.col("pck_is_medcn_ind") == 0)
