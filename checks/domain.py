@@ -14,7 +14,7 @@ from pricemill.functions.bounded import code_list, times
 from pricemill.functions.numbers import PRICE, weighted_mean
 from pricemill.functions.periods import month_number, months_between_list, with_months
 from pricemill.operators.buys import flag
-from pricemill.session import configure
+from pricemill.session import configure, cut_lineage
 
 # State of each nation key.
 STATES = (
@@ -39,11 +39,18 @@ class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "name"):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self._stored: dict[str, DataFrame] = {}
         self.product_keys = ["p_name"] if grain == "name" else ["p_name", "p_type"]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def stored(self, name: str) -> DataFrame:
+        """A domain table as it would be read from storage: written once, then read by all branches."""
+        if name not in self._stored:
+            self._stored[name] = cut_lineage(getattr(self, name))
+        return self._stored[name]
+
     # ---- dimensions ------------------------------------------------------------------------------
 
     @cached_property

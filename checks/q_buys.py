@@ -8,7 +8,7 @@ from checks.base_sql import NET, SUPPLIER_ID, pm, share12
 from checks.domain import FIRST, LAST
 from checks.registry import add
 from pricemill.operators import buys, outliers
-from pricemill.operators.buys import MIN_PRICE
+from pricemill.session import cut_lineage
 
 P = {"period_from": FIRST, "period_to": LAST}
 
@@ -129,7 +129,9 @@ add("drop_low_price_groups", FILTERED, lambda d: buys.drop_low_price_groups(d.pr
 add(
     "drop_duplicate_lines",
     FILTERED,
-    lambda d: buys.drop_duplicate_lines(buys.drop_low_price_groups(d.priced), population=d.priced),
+    lambda d: buys.drop_duplicate_lines(
+        buys.drop_low_price_groups(d.stored("priced")), population=d.stored("priced")
+    ),
     "SELECT * FROM once",
     ctes=LOW,
 )
@@ -165,7 +167,7 @@ add(
 add(
     "filtered_buys",
     FILTERED,
-    lambda d: buys.filtered_buys(d.priced, d.price_list("L"), d.products, d.class_bands),
+    lambda d: buys.filtered_buys(d.stored("priced"), d.price_list("L"), d.products, d.class_bands),
     "SELECT * FROM cleaned WHERE pur_prc_amt >= 0.05",
     ctes=LOW + "," + FLAGGED.replace("FROM priced t", "FROM once t") + "," + UNION,
 )
@@ -204,7 +206,9 @@ outs AS (
 
 
 def _in_band(d):
-    return outliers.price_band_filter(outliers.provider_priority(d.tax_calc), d.price_list("D"), d.band)
+    return outliers.price_band_filter(
+        outliers.provider_priority(d.stored("tax_calc")), d.price_list("D"), d.band
+    )
 
 
 add("provider_priority", LINE, lambda d: outliers.provider_priority(d.tax_calc), "SELECT * FROM ranked", ctes=OUT)
@@ -215,7 +219,7 @@ add(
     "SELECT * FROM quart", ctes=OUT,
 )
 add(
-    "standardise_price", LINE + ", stdzn_prc:d", lambda d: outliers.standardise_price(_in_band(d)),
+    "standardise_price", LINE + ", stdzn_prc:d", lambda d: outliers.standardise_price(cut_lineage(_in_band(d))),
     "SELECT * FROM std", ctes=OUT,
 )
 add(
@@ -225,14 +229,14 @@ add(
 
 
 def _outliers(d):
-    rows = _in_band(d)
+    rows = cut_lineage(_in_band(d))
     return outliers.iqr_outliers(rows, outliers.iqr_limits(rows))
 
 
 add("iqr_flag", LINE + ", stdzn_prc:d, li:d, ls:d", _outliers, "SELECT * FROM outs", ctes=OUT)
 add(
     "remove_outliers", CLEAN,
-    lambda d: outliers.clean_transactions(d.tax_calc, d.price_list("D"), d.band),
+    lambda d: outliers.clean_transactions(d.stored("tax_calc"), d.price_list("D"), d.band),
     "SELECT * FROM inband WHERE buys_trans_line_id NOT IN (SELECT buys_trans_line_id FROM outs)", ctes=OUT,
 )
 add(

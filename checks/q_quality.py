@@ -49,11 +49,11 @@ def _defects(table: DataFrame) -> DataFrame:
 
 
 def _natl(d):
-    return _defects(d.national)
+    return _defects(d.stored("national"))
 
 
 def _geo(d):
-    return _defects(d.geo)
+    return _defects(d.stored("geo"))
 
 
 def v(key, columns, run, select):
@@ -313,7 +313,7 @@ add(
     "dsupp_proc_id:i, ppp_dsupp_typ_cd:s, oac_nm:s, pck_is_medcn_ind:i, layout:i, bridged:i, mapped:i, tax:i, dupp:i, cpp:i, out:i,"
     "diff1_bridge:d, diff2_list_price:d",
     lambda d: report.qc_funnel(
-        d.buys, buys.min_price_filter(d.priced), d.tax_calc, d.clean, d.products, d.providers, d.price_list("D"), d.band, period=CUR
+        d.buys, buys.min_price_filter(d.priced), d.stored("tax_calc"), d.clean, d.products, d.providers, d.price_list("D"), d.band, period=CUR
     ),
     f"""SELECT f.dsupp_proc_id, w.ppp_dsupp_typ_cd, w.oac_nm, f.pck_is_medcn_ind, layout, bridged, mapped, tax, dupp, cpp, "out",
           bridged::DOUBLE / layout - 1 AS diff1_bridge, mapped::DOUBLE / bridged - 1 AS diff2_list_price
@@ -415,7 +415,7 @@ REPORT = (
 
 def _report(d):
     return report.qc_price_validation(
-        d.national, d.geo, d.clean, d.price_list("L"), d.product_view, d.product_ext, period_to=CUR
+        d.stored("national"), d.stored("geo"), d.stored("clean"), d.price_list("L"), d.product_view, d.product_ext, period_to=CUR
     )
 
 

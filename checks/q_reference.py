@@ -163,9 +163,10 @@ add(
 
 def _retired(d) -> tuple[DataFrame, DataFrame]:
     """Products with even ids lose their first years, so that some new ids have one price only."""
-    last = d.national.groupBy("pcmdty_id").agg(F.max("period_cd").alias("_last"))
+    stored = d.stored("national")
+    last = stored.groupBy("pcmdty_id").agg(F.max("period_cd").alias("_last"))
     national = (
-        d.national.join(last, "pcmdty_id")
+        stored.join(last, "pcmdty_id")
         .filter((F.col("pcmdty_id") % 2 == 1) | (F.col("period_cd") == F.col("_last"))).drop("_last")
     )
     # Each product with an odd id is retired in favour of the next product with an even id.

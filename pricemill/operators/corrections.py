@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pricemill.functions.bounded import times_geos
 from pricemill.functions.numbers import MEAN, PRICE, UNITS, dbl, mean, price
 from pricemill.functions.periods import in_range, shift
 from pricemill.functions.quantiles import group_quantiles
 from pricemill.functions.tables import delete_join, update_join
-from pricemill.functions.bounded import times_geos
 from pricemill.operators.buys import flag
+from pricemill.session import Keep, same_frame
 
 GEO_KEY = ["period_cd", "pcmdty_id", "geo_lvl_cd"]
 PRODUCT_KEY = ["period_cd", "pcmdty_id"]
@@ -76,10 +77,13 @@ def _apply(table: DataFrame, changes: DataFrame, keys: list[str], step: int) ->
 
 def smooth_channel(
     geo: DataFrame, national: DataFrame, *, period_from: str, period_to: str, k: float = 1.5,
-    batch_id: str = "",
+    batch_id: str = "", keep: Keep = same_frame,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """First smoothing pass -> (geo, audit, flagged)."""
-    flagged = channel_flags(geo, national, period_from=period_from, period_to=period_to, k=k)
+    """First smoothing pass -> (geo, audit, flagged).
+
+    ``keep`` stores the few changed rows that all results read.
+    """
+    flagged = keep(channel_flags(geo, national, period_from=period_from, period_to=period_to, k=k))
     changes = flagged.filter(F.col("flag_updated") == 1)
     return (
         _apply(geo, changes, GEO_KEY, SMOOTHED),
@@ -124,10 +128,11 @@ def both_channel_changes(
 
 
 def smooth_both_channels(
-    geo: DataFrame, flagged: DataFrame, *, period_from: str, period_to: str, batch_id: str = ""
+    geo: DataFrame, flagged: DataFrame, *, period_from: str, period_to: str, batch_id: str = "",
+    keep: Keep = same_frame,
 ) -> tuple[DataFrame, DataFrame]:
     """Second smoothing pass on the result of the first -> (geo, audit)."""
-    changes = both_channel_changes(geo, flagged, period_from=period_from, period_to=period_to)
+    changes = keep(both_channel_changes(geo, flagged, period_from=period_from, period_to=period_to))
     return (
         _apply(geo, changes, GEO_KEY, SMOOTHED),
         geo_audit(changes, "Prices-Smooth-Step-1.2", batch_id),
@@ -173,10 +178,10 @@ def history_changes(
 
 def smooth_history(
     geo: DataFrame, products: DataFrame, *, period: str, months: int = 3, pct: float = 0.95,
-    batch_id: str = "",
+    batch_id: str = "", keep: Keep = same_frame,
 ) -> tuple[DataFrame, DataFrame]:
     """Replace extreme moves by the mean of the months before -> (geo, audit)."""
-    changes = history_changes(geo, products, period=period, months=months, pct=pct)
+    changes = keep(history_changes(geo, products, period=period, months=months, pct=pct))
     return (
         _apply(geo, changes, GEO_KEY, SMOOTHED), geo_audit(changes, "Prices-Smooth-Step-2", batch_id)
     )

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pricemill.functions.bounded import one_value
 from pricemill.functions.numbers import PRICE, price
 from pricemill.functions.periods import add_months, in_range, months_between_list, shift, with_months
 from pricemill.functions.quantiles import group_quantiles
 from pricemill.operators.buys import MIN_PRICE, flag
+from pricemill.session import Keep, cut_lineage
 
 PRODUCT_MONTH = ["period_cd", "pcmdty_id"]
 CHANNEL_MONTH = ["period_cd", "pcmdty_id", "buyer_is_otlt_chain_ind"]
@@ -84,18 +85,22 @@ def iqr_limits(df: DataFrame, *, min_rows: int = 5, k: float = 1.5) -> DataFrame
     Dividing by the largest price of a product and month keeps the order of its prices, so the
     quartiles are taken on the stored decimals and only the quartiles are divided.
     """
-    top = df.groupBy(*PRODUCT_MONTH).agg(F.max("ppp_prc_amt").alias("max_prc"))
-    quartiles = group_quantiles(
-        df, CHANNEL_MONTH, "ppp_prc_amt", [0.25, 0.75], names=["_q1", "_q3"], count_name="n_rows"
-    ).filter(F.col("n_rows") >= min_rows)
+    by_channel = group_quantiles(
+        df, CHANNEL_MONTH, "ppp_prc_amt", [0.25, 0.75, 1.0], names=["_q1", "_q3", "_top"],
+        count_name="n_rows",
+    )
+    # The two channels of a product and month.
+    both = Window.partitionBy(*PRODUCT_MONTH)
+    quartiles = by_channel.withColumn("max_prc", F.max("_top").over(both)).filter(
+        (F.col("n_rows") >= min_rows) & (F.col("max_prc") > 0)
+    )
 
     def share(name: str):
         return F.try_divide(F.col(name), F.col("max_prc")).cast(SHARE)
 
     spread = (F.col("p075_prc") - F.col("p025_prc")) * F.lit(k).cast("decimal(4,2)")
     return (
-        quartiles.join(top.filter(F.col("max_prc") > 0), PRODUCT_MONTH, "inner")
-        .withColumn("p025_prc", share("_q1"))
+        quartiles.withColumn("p025_prc", share("_q1"))
         .withColumn("p075_prc", share("_q3"))
         .select(
             *CHANNEL_MONTH, "n_rows", "max_prc", "p025_prc", "p075_prc",
@@ -135,7 +140,12 @@ def replicate_next_period(clean: DataFrame, *, period: str, months: int = 3) ->
     return kept.unionByName(copies)
 
 
-def clean_transactions(tax_calc: DataFrame, list_d: DataFrame, band: DataFrame) -> DataFrame:
-    """The whole filter from tax-adjusted lines to the lines that are averaged."""
-    in_band = price_band_filter(provider_priority(tax_calc), list_d, band)
+def clean_transactions(
+    tax_calc: DataFrame, list_d: DataFrame, band: DataFrame, *, keep: Keep = cut_lineage
+) -> DataFrame:
+    """The whole filter from tax-adjusted lines to the lines that are averaged.
+
+    The lines in band are read three times, so they are kept once.
+    """
+    in_band = keep(price_band_filter(provider_priority(tax_calc), list_d, band))
     return remove_outliers(in_band, iqr_outliers(in_band, iqr_limits(in_band)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricemill.functions.bounded import code_list, times
 from pricemill.functions.numbers import MEAN, PRICE, UNITS, mean, ratio_or_zero
+from pricemill.session import Keep, cut_lineage
 
 PRODUCT = ["period_cd", "pcmdty_id"]
 STATE_CHANNEL = ["period_cd", "pcmdty_id", "st_cd", "is_otlt_chain_ind"]
@@ -263,18 +264,26 @@ def national_weighted(df: DataFrame) -> DataFrame:
     return _national(df, "prc_st_chnl", "prc_national")
 
 
-def fill_state_from_national(df: DataFrame, national: DataFrame) -> DataFrame:
+def with_national(df: DataFrame) -> DataFrame:
+    """The national price next to every channel price.
+
+    A window over the states and channels of one product and month (a few dozen rows): no second
+    reading of the channel prices and no join.
+    """
+    product = Window.partitionBy(*PRODUCT)
+    weight = (F.col("units_ind") * F.col("units_total")).cast(UNITS)
+    value = F.sum(F.col("prc_st_chnl").cast(MEAN) * weight).over(product)
+    return df.withColumn("prc_national", ratio_or_zero(value, F.sum(weight).over(product)))
+
+
+def fill_state_from_national(df: DataFrame) -> DataFrame:
     """States without a price take the national one; what is still 0 is dropped."""
     filled = F.when(F.col("prc_st_chnl") == 0, F.col("prc_national")).otherwise(F.col("prc_st_chnl"))
     channel = F.when(F.col("is_otlt_chain_ind") == 0, "I").otherwise("R")
-    return (
-        df.join(national, PRODUCT, "inner")
-        .select(
-            *PRODUCT, F.concat("st_cd", channel).alias("geo_lvl_cd"), "units", "units_total",
-            "units_ind", filled.alias("fnl_wgt_prc"),
-        )
-        .filter(F.col("fnl_wgt_prc") != 0)
-    )
+    return df.select(
+        *PRODUCT, F.concat("st_cd", channel).alias("geo_lvl_cd"), "units", "units_total", "units_ind",
+        filled.alias("fnl_wgt_prc"),
+    ).filter(F.col("fnl_wgt_prc") != 0)
 
 
 def step1_geo(filled: DataFrame) -> DataFrame:
@@ -295,7 +304,8 @@ def step1_national(filled: DataFrame) -> DataFrame:
 
 
 def channel_prices(
-    clean: DataFrame, sales: DataFrame, outlets: DataFrame, providers: DataFrame, states: DataFrame
+    clean: DataFrame, sales: DataFrame, outlets: DataFrame, providers: DataFrame, states: DataFrame,
+    *, keep: Keep = cut_lineage,
 ) -> DataFrame:
     """From clean transactions and sales to a price per product, state and channel."""
     by_state, overall = root_prices(clean, outlets)
@@ -304,15 +314,17 @@ def channel_prices(
     delivery = impute_price(
         delivery_outlets(sales, providers, outlets), whs_state, whs, "wholesaler_code"
     )
-    trans = all_transactions(imputed, delivery, clean)
+    trans = keep(all_transactions(imputed, delivery, clean))
     priced = outlet_price_fallback(trans, sales, outlets)
-    grid = geo_grid(states, trans)
-    return borrow_other_channel(weighted_channel_price(priced, grid, sold_units(sales, outlets)))
+    weighted = weighted_channel_price(priced, geo_grid(states, trans), sold_units(sales, outlets))
+    # All later steps work within one product and month: one shuffle serves them.
+    return borrow_other_channel(weighted.repartition(*PRODUCT))
 
 
 def step1_prices(
-    clean: DataFrame, sales: DataFrame, outlets: DataFrame, providers: DataFrame, states: DataFrame
+    clean: DataFrame, sales: DataFrame, outlets: DataFrame, providers: DataFrame, states: DataFrame,
+    *, keep: Keep = cut_lineage,
 ) -> DataFrame:
     """Weighted prices of all geos, ready for `step1_geo` and `step1_national`."""
-    channels = channel_prices(clean, sales, outlets, providers, states)
-    return fill_state_from_national(channels, national_weighted(channels))
+    channels = channel_prices(clean, sales, outlets, providers, states, keep=keep)
+    return fill_state_from_national(with_national(channels))
