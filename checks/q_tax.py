@@ -52,6 +52,9 @@ REF = "ref"
 ST = "CASE WHEN exempt THEN 0 WHEN own > st_db THEN 0 ELSE st_db - own END"
 
 
+FAMILIES: list[str] = []  # keys of all state families
+
+
 def family(
     key: str,
     states: list[str],
@@ -70,6 +73,7 @@ def family(
     needs_m: bool = True,
     ref: str = "coalesce(ref0, 0)",
 ) -> None:
+    FAMILIES.append(key)
     names = ",".join(f"'{s}'" for s in states)
     m_join = "JOIN" if needs_m else "LEFT JOIN"
     ctes = f"""

@@ -1,10 +1,13 @@
-"""Exact group quantiles whose cost does not depend on the largest group.
+"""Exact group quantiles that no hot group can overload.
 
 ``percentile`` keeps all values of a group in one aggregation buffer, so one product that holds a
-third of all transactions ends up in one task.  Here the values are first counted per
-(group, bucket, value), where the bucket is a monotone function of the value.  A cumulative count over
-the few thousand buckets of a group finds the bucket that holds each wanted rank, and only the
+third of all transactions ends up in one task.  Groups are counted first.  Groups of up to
+``hot_rows`` rows are ranked by a window in one shuffle.  For the larger ones the values are counted
+per (group, bucket, value), where the bucket is a monotone function of the value; a cumulative count
+over the few thousand buckets of a group finds the bucket that holds each wanted rank, and only the
 distinct values of that bucket are ordered.
+
+The set of large groups is broadcast: it has at most (number of rows / ``hot_rows``) entries.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pricemill.functions.numbers import MEAN
 
 BUCKETS_PER_E = 256  # one bucket spans 0.4 % of the value
+HOT_ROWS = 1_000_000
 
 
 def _bucket(value: Column) -> Column:
@@ -25,40 +29,41 @@ def _bucket(value: Column) -> Column:
     ).cast("long")
 
 
-def group_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    probabilities: list[float],
-    *,
-    names: list[str],
-    interpolate: bool = False,
-    count_name: str | None = None,
-) -> DataFrame:
-    """One row per group with a column per probability.
+def _ranks(probabilities: list[float], interpolate: bool) -> list[tuple[int, Column]]:
+    """(id, rank) of the wanted rows, in terms of the group size ``_total``."""
+    total = F.col("_total")
+    ranks = []
+    for i, p in enumerate(probabilities):
+        if interpolate:
+            position = (total - 1) * F.lit(p)
+            ranks += [(2 * i, F.floor(position) + 1), (2 * i + 1, F.ceil(position) + 1)]
+        else:
+            ranks.append((i, F.greatest(F.ceil(total * F.lit(p)), F.lit(1).cast("long"))))
+    return [(i, rank.cast("long")) for i, rank in ranks]
 
-    ``interpolate=False`` returns the value at rank ``ceil(p * n)`` (what ``percentile_approx``
-    returns at full accuracy); ``interpolate=True`` the continuous percentile of a price.
-    Null values are ignored.
-    """
+
+def _hits_by_rank(rows: DataFrame, keys: list[str], ranks: list[tuple[int, Column]]) -> DataFrame:
+    """(keys, _total, _id, _value) of the wanted ranks, for groups of bounded size."""
+    group = Window.partitionBy(*keys)
+    ranked = rows.withColumn("_rank", F.row_number().over(group.orderBy("_value"))).withColumn(
+        "_total", F.count(F.lit(1)).over(group)
+    )
+    wanted = F.array(*[F.when(F.col("_rank") == rank, F.lit(i)) for i, rank in ranks])
+    return ranked.select(
+        *keys, "_total", F.explode(F.array_compact(wanted)).alias("_id"), "_value"
+    )
+
+
+def _hits_by_bucket(rows: DataFrame, keys: list[str], ranks: list[tuple[int, Column]]) -> DataFrame:
+    """The same for groups of any size."""
     counted = (
-        df.filter(F.col(value).isNotNull())
-        .select(*keys, F.col(value).alias("_value"))
-        .withColumn("_bucket", _bucket(F.col("_value")))
+        rows.withColumn("_bucket", _bucket(F.col("_value")))
         .groupBy(*keys, "_bucket", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     histogram = counted.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_in_bucket"))
     whole = Window.partitionBy(*keys)
     ordered = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.col("_total")
-    wanted = []
-    for i, p in enumerate(probabilities):
-        if interpolate:
-            position = (total - 1) * F.lit(p)
-            wanted += [(2 * i, F.floor(position) + 1), (2 * i + 1, F.ceil(position) + 1)]
-        else:
-            wanted.append((i, F.greatest(F.ceil(total * F.lit(p)), F.lit(1).cast("long"))))
     targets = (
         histogram.withColumn("_upto", F.sum("_in_bucket").over(ordered))
         .withColumn("_total", F.sum("_in_bucket").over(whole))
@@ -71,8 +76,8 @@ def group_quantiles(
             F.explode(
                 F.array(
                     *[
-                        F.struct(F.lit(i).alias("id"), rank.cast("long").alias("rank"))
-                        for i, rank in wanted
+                        F.struct(F.lit(i).alias("id"), rank.alias("rank"))
+                        for i, rank in ranks
                     ]
                 )
             ).alias("_want"),
@@ -96,17 +101,47 @@ def group_quantiles(
         .orderBy("_value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    hits = (
+    return (
         candidates.withColumn("_cum", F.sum("_n").over(within))
         .select(*keys, "_value", "_n", "_cum", "_total", F.explode("_wants").alias("_want"))
         .filter(
             (F.col("_want.rank") <= F.col("_cum"))
             & (F.col("_want.rank") > F.col("_cum") - F.col("_n"))
         )
+        .select(*keys, "_total", F.col("_want.id").alias("_id"), "_value")
+    )
+
+
+def group_quantiles(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    probabilities: list[float],
+    *,
+    names: list[str],
+    interpolate: bool = False,
+    count_name: str | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """One row per group with a column per probability.
+
+    ``interpolate=False`` returns the value at rank ``ceil(p * n)`` (what ``percentile_approx``
+    returns at full accuracy); ``interpolate=True`` the continuous percentile of a price.
+    Null values are ignored.  ``df`` is read three times: keep it if it is expensive.
+    """
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
+    hot = (
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     )
+    is_hot = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    ranks = _ranks(probabilities, interpolate)
+    cold_hits = _hits_by_rank(rows.join(F.broadcast(hot), is_hot, "left_anti"), keys, ranks)
+    hot_hits = _hits_by_bucket(rows.join(F.broadcast(hot), is_hot, "left_semi"), keys, ranks)
+    hits = cold_hits.unionByName(hot_hits)
 
     def at(i: int) -> Column:
-        return F.max(F.when(F.col("_want.id") == i, F.col("_value")))
+        return F.max(F.when(F.col("_id") == i, F.col("_value")))
 
     columns = []
     for i, (p, name) in enumerate(zip(probabilities, names)):

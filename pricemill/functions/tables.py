@@ -69,9 +69,13 @@ def write_period(df: DataFrame, path: str, period: str, name: str = "period_cd")
 
 
 def write_periods(df: DataFrame, path: str, name: str = "period_cd") -> None:
-    """Overwrite exactly the months present in ``df`` (dynamic partition overwrite)."""
+    """Overwrite exactly the months present in ``df`` (dynamic partition overwrite).
+
+    The rebalance hint gathers a month into few files and splits a month that holds most rows.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", name)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(name)
         .parquet(path)

@@ -87,14 +87,13 @@ def latest_qty_factor(
     buys: DataFrame, dim_provider: DataFrame, provider_class: str = "PHARMACY"
 ) -> DataFrame:
     """Most recent quantity factor per selling provider and product (largest on a tie)."""
-    sellers = dim_provider.filter(F.col("ppp_dsupp_typ_cd") == provider_class).select(
-        "wholesaler_CGC"
+    sellers = (
+        dim_provider.filter(F.col("ppp_dsupp_typ_cd") == provider_class)
+        .select("wholesaler_CGC").distinct()
     )
     lines = buys.filter((F.col("dsupp_is_assc_ind") == 0) & is_bridged())
     return (
-        lines.join(
-            sellers.distinct(), lines["orig_cnpj_fiscal_id"] == sellers["wholesaler_CGC"], "inner"
-        )
+        lines.join(sellers, lines["orig_cnpj_fiscal_id"] == sellers["wholesaler_CGC"], "inner")
         .groupBy("wholesaler_CGC", "pcmdty_id")
         .agg(F.max(F.struct("period_cd", "pcmdty_qty_mult_fct"))["pcmdty_qty_mult_fct"].alias(
             "pcmdty_qty_mult_fct"))

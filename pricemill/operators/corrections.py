@@ -161,11 +161,15 @@ def history_deviations(
 
 
 def history_changes(
-    geo: DataFrame, products: DataFrame, *, period: str, months: int = 3, pct: float = 0.95
+    geo: DataFrame, products: DataFrame, *, period: str, months: int = 3, pct: float = 0.95,
+    keep: Keep = same_frame,
 ) -> DataFrame:
-    """Geo prices whose deviation exceeds the percentile of their medicine flag and segment."""
+    """Geo prices whose deviation exceeds the percentile of their medicine flag and segment.
+
+    There are only a handful of segments, so each holds a large share of the month's prices.
+    """
     segment = ["period_cd", "pck_is_medcn_ind", "otc_seg_cd"]
-    deviations = history_deviations(geo, products, period=period, months=months)
+    deviations = keep(history_deviations(geo, products, period=period, months=months))
     limits = group_quantiles(deviations, segment, "deviation", [pct], names=["_limit"])
     return (
         deviations.join(limits, segment, "inner")
@@ -181,7 +185,9 @@ def smooth_history(
     batch_id: str = "", keep: Keep = same_frame,
 ) -> tuple[DataFrame, DataFrame]:
     """Replace extreme moves by the mean of the months before -> (geo, audit)."""
-    changes = keep(history_changes(geo, products, period=period, months=months, pct=pct))
+    changes = keep(
+        history_changes(geo, products, period=period, months=months, pct=pct, keep=keep)
+    )
     return (
         _apply(geo, changes, GEO_KEY, SMOOTHED), geo_audit(changes, "Prices-Smooth-Step-2", batch_id)
     )
