@@ -38,9 +38,9 @@ def connect(sf_dir: str):
     return con
 
 
-def compare(query, spark, con, sf_dir: str) -> tuple[bool, str]:
+def compare(query, spark, con, sf_dir: str, df=None) -> tuple[bool, str]:
     start = time.time()
-    df = query.spark(spark, sf_dir)
+    df = query.spark(spark, sf_dir) if df is None else df
     got = df.collect()
     spent = time.time() - start
     note = f"{len(got):>7} rows {spent:6.2f}s"
