@@ -16,8 +16,8 @@ def month_number(period: Column | str) -> Column:
 
 
 def month_text(number: Column) -> Column:
-    year = F.floor(number / 12).cast("int")
-    month = F.pmod(number, F.lit(12)).cast("int") + 1
+    year = F.call_function("div", number, F.lit(12))
+    month = number % 12 + 1
     return F.concat(year.cast("string"), F.lpad(month.cast("string"), 2, "0"))
 
 

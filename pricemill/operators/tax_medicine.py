@@ -77,9 +77,10 @@ def tax_inputs(
 ) -> DataFrame:
     """Medicine lines with their tax row, ceiling, prior-month D price and reference price.
 
-    The lookups are keyed by product, class and month, so they are joined first among themselves where
-    possible and the lines are touched by left joins only.
+    The three price lookups share the key (product, month) and are joined among themselves first, so
+    the lines are joined once on that key; product attributes and tax rows are small dimensions.
     """
+    key = ["pcmdty_id", "period_cd"]
     medicine = products.filter(F.col("pck_is_medcn_ind") == 1).select(
         "pcmdty_id", "pack_pnn_flag_cd", "pck_gmrs_class_cd"
     )
@@ -88,18 +89,19 @@ def tax_inputs(
         F.col("gmrs_cd").alias("pck_gmrs_class_cd"), "icms_int_pct", "mva_orig_pct", "mva_12_pct",
         "mva_7_pct", "mva_4_pct", "red_mva_pct", "pcm_red_pct", "trava_pct",
     )
-    # (product, state) -> tax row: resolved on the dimensions, one join for the lines.
-    product_rates = medicine.join(rates, ["pack_pnn_flag_cd", "pck_gmrs_class_cd"], "inner")
-    ceiling = list_m.select("pcmdty_id", "period_cd", price("prc_amt").alias("ceiling"))
+    ceiling = list_m.select(*key, price("prc_amt").alias("ceiling"))
     prior_d = list_d.select(
         "pcmdty_id", add_months("period_cd", 1).alias("period_cd"), price("prc_amt").alias("d_prc")
     )
+    prices = (
+        ceiling.join(prior_d, key, "full").join(reference_price(sub_national), key, "full")
+        .filter(in_range(period_from, period_to))
+    )
     return (
         buys.drop("pck_is_medcn_ind").filter(in_range(period_from, period_to) & _in(*STATES))
-        .join(product_rates, ["pcmdty_id", "buyer_st_cd"], "inner")
-        .join(ceiling, ["pcmdty_id", "period_cd"], "left")
-        .join(prior_d, ["pcmdty_id", "period_cd"], "left")
-        .join(reference_price(sub_national), ["pcmdty_id", "period_cd"], "left")
+        .join(medicine, "pcmdty_id", "inner")
+        .join(rates, ["buyer_st_cd", "pack_pnn_flag_cd", "pck_gmrs_class_cd"], "inner")
+        .join(prices, key, "left")
         .filter(F.col("ceiling").isNotNull() | _in(*NO_CEILING))
     )
 

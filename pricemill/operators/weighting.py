@@ -162,8 +162,12 @@ def outlet_price_fallback(trans: DataFrame, sales: DataFrame, outlets: DataFrame
     by_outlet = trans.groupBy(
         *PRODUCT, F.col("buyer_otlt_cd").alias("outlet_code"), "buyer_is_otlt_chain_ind", "buyer_st_cd"
     ).agg(mean("ppp_prc_amt").alias("_outlet_prc"))
-    outlet = outlets.select(F.col("outlet_code").alias("buyer_otlt_cd"), "cnpj_root_cd", "st_cd")
-    # Sums per (root, state) serve both root levels: one pass over the transactions.
+    # Sums per (root, state) serve both root levels.  Without nulls in the state both levels read the
+    # same exchange; an empty state matches no sold outlet, as a null would not.
+    outlet = outlets.select(
+        F.col("outlet_code").alias("buyer_otlt_cd"), "cnpj_root_cd",
+        F.coalesce("st_cd", F.lit("")).alias("st_cd"),
+    )
     by_root_state = (
         trans.join(outlet, "buyer_otlt_cd", "inner")
         .groupBy(*PRODUCT, "cnpj_root_cd", "st_cd")
