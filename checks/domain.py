@@ -6,11 +6,11 @@ sparse histories with gaps).  Everything is computed from all rows of the given
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pricemill.functions.bounded import code_list, times
+from pricemill.functions.bounded import times
 from pricemill.functions.numbers import PRICE, weighted_mean
 from pricemill.functions.periods import month_number, months_between_list, with_months
 from pricemill.operators.buys import flag
@@ -28,22 +28,40 @@ CLASSES = ("PHARMACY", "PHARMACY", "PHARMACY", "PHARMACY", "PHARMACY", "WHOLESAL
 
 
 def pick(values: tuple, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
+    return F.element_at(F.split(F.lit(",".join(values)), ","), index.cast("int") + 1)
 
 
 def text(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
 
+_DOMAINS: dict[tuple[str, str, str], "Domain"] = {}
+
+
+def domain(spark: SparkSession, sf_dir: str, grain: str) -> "Domain":
+    """The domain of a folder; its lazy frames are built once per application, its stored ones per query."""
+    key = (spark.sparkContext.applicationId, sf_dir, grain)
+    if key not in _DOMAINS:
+        _DOMAINS[key] = Domain(spark, sf_dir, grain)
+    _DOMAINS[key].forget_stored()
+    return _DOMAINS[key]
+
+
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "name"):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
         self._stored: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
         self.product_keys = ["p_name"] if grain == "name" else ["p_name", "p_type"]
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
+
+    def forget_stored(self) -> None:
+        self._stored = {}
 
     def stored(self, name: str) -> DataFrame:
         """A domain table as it would be read from storage: written once, then read by all branches."""
@@ -182,6 +200,7 @@ class Domain:
 
     # ---- price lists and parameters --------------------------------------------------------------
 
+    @lru_cache
     def price_list(self, kind: str) -> DataFrame:
         """D, L and M prices of every month; a few products lack D or L, a few have M = 0."""
         factor, skip = {"D": (60, (13, 0)), "L": (100, (17, 1)), "M": (110, (1, 1))}[kind]
@@ -539,4 +558,4 @@ class Domain:
         )
 
 
-__all__ = ["Domain", "FIRST", "LAST", "STATES", "code_list"]
+__all__ = ["Domain", "FIRST", "LAST", "STATES", "domain"]

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.base_sql import base
-from checks.domain import Domain
+from checks.domain import Domain, domain
 
 SPARK_TYPES = {"i": "bigint", "d": "double", "s": "string"}
 SQL_TYPES = {"i": "BIGINT", "d": "DOUBLE", "s": "VARCHAR"}
@@ -24,7 +24,7 @@ class Query:
     grain: str
 
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = self.run(Domain(spark, sf_dir, self.grain))
+        df = self.run(domain(spark, sf_dir, self.grain))
         return df.select(*[F.col(f"`{c}`").cast(SPARK_TYPES[t]).alias(c) for c, t in self.columns])
 
     @property

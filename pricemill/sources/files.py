@@ -4,24 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# The reference files of the monthly load.
-REFERENCE_FILES = (
-    "pcm_ppp_cpp_min_max_pct",
-    "pcm_ppp_gmrs_min_max_pct",
-    "pcm_ppp_ref_med_icms_sp",
-    "pcm_ppp_ref_ncm_prod_attr_brdg",
-    "pcm_ppp_ref_ncm_nomed_exc",
-    "pcm_ppp_ref_ncm_pcmdty_brdg",
-    "pcm_ppp_ref_pnn_flag",
-    "pcm_ppp_ref_tax_med_icms_all_states",
-    "pcm_ppp_ref_federal_tax",
-    "pcm_ppp_ref_tax_no_med_cest_excl",
-    "pcm_ppp_ref_tax_non_med_icms_rt",
-    "pcm_ppp_ref_tax_no_med_tipi_excl",
-    "pcm_ppp_ref_whs_qty_mult_fct",
-)
-
-
 def read_delimited(
     spark: SparkSession, path: str, *, columns: list[str], sep: str = "|"
 ) -> DataFrame:
