@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pricemill.llm import (
-    bpe, context_tree, fingerprints, html_text, language, mixing, near_duplicates, sharding, warc,
+    bpe, context_tree, fingerprints, html_text, language, mixing, near_duplicates, search, sharding, warc,
 )
 from pricemill.llm.common import table
 from pricemill.llm.sql import WARC_SQL
@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {
     "op4_sentencepiece": over("documents", bpe.encode_documents),
     "op5_near_duplicates": over("documents", near_duplicates.near_duplicate_classes),
     "op6_lm_scoring": over("documents", context_tree.score_documents),
+    "op7_topk_search": over("documents", search.search_every_20th),
     "op8_html_extraction": over("pages", html_text.extract_pages),
     "op9_warc": over("pages", warc.archive_pages),
     "op10_sharding": over("documents", sharding.shard_documents),
