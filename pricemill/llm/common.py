@@ -24,7 +24,7 @@ def bucket_of(column: Column | str, buckets: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"), F.lit("~"))) % buckets
 
 
-def chunks_for(rows: int, per_chunk: int = 100_000) -> int:
+def chunks_for(rows: int, per_chunk: int = 10_000) -> int:
     return max(1, -(-rows // per_chunk))
 
 

@@ -28,8 +28,9 @@ from pricemill.llm.common import keep
 DEPTH = 5
 CONTEXTS = 1 << 17  # per depth, at most
 HEAVY = 1 << 20  # words with a share of 1 / HEAVY of all tokens are sent to all tasks: HEAVY words at most
-BATCH = 4 << 20  # bytes handled at a time
-GATHER = 1_500_000  # distinct runs of bytes that a task gathers before it sends them on
+BATCH = 2 << 20  # bytes handled at a time
+GATHER = 1_000_000  # distinct runs of bytes that a task gathers before it sends them on
+WORDS = 300_000  # the same for words
 HALF = math.log(2.0)
 
 
@@ -211,9 +212,9 @@ def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             counts.update(words_of(text))
             counts[b""] += 1
-            if len(counts) > GATHER:
+            if len(counts) > WORDS:
                 yield rows()
-                counts.clear()
+                counts = Counter()
     if counts:
         yield rows()
 

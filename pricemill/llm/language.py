@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
-SAMPLE = 4000  # labelled documents that the weights are fitted on, at most
+SAMPLE = 2000  # labelled documents that the weights are fitted on, at most
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 CALIBRATION = 5  # each 5th document of the sample is for the temperature
@@ -172,17 +172,16 @@ def train(docs: DataFrame) -> Model:
     picked = picked.orderBy("n", "lang").limit(SAMPLE).select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id")).distinct()
     chosen = labelled.join(F.broadcast(picked), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
     rows = chosen.orderBy(F.xxhash64(F.col("doc_id")), "doc_id", F.xxhash64("text")).limit(SAMPLE).select("text", "lang").mapInArrow(
-        _counted, "lang string, at array<int>, count array<int>").collect()
-    if not rows:
-        return Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0))
-    languages = sorted({r["lang"] for r in rows})
-    labels = np.array([languages.index(r["lang"]) for r in rows])
+        _counted, "lang string, at array<int>, count array<int>").toArrow()
+    named = rows["lang"].to_pylist()
+    languages = sorted(set(named))
+    labels = np.array([languages.index(name) for name in named])
     vectors = []
-    for r in rows:
+    for at, found in zip(rows["at"], rows["count"], strict=True):
         count = np.zeros(BUCKETS, np.int64)
-        count[r["at"]] = r["count"]
+        count[at.values.to_numpy()] = found.values.to_numpy()
         vectors.append(scaled(count, idf))
-    aside = np.arange(len(rows)) % CALIBRATION == CALIBRATION - 1
+    aside = np.arange(len(vectors)) % CALIBRATION == CALIBRATION - 1
     use = np.flatnonzero(~aside)
     weights, bias = fit([vectors[i] for i in use], labels[use], len(languages))
     model = Model(languages, idf, weights, bias)
@@ -226,7 +225,7 @@ def identify_languages(docs: DataFrame) -> DataFrame:
     return predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 def known_language(docs: DataFrame) -> DataFrame:

@@ -13,8 +13,11 @@ as an alignment of that similarity can stray, so it loses none.  Classes are the
 pairs.
 
 Documents with equal words are one vertex from the start, however many there are.  In a bucket, all members are first
-compared with the smallest vertex only; then, once those links have joined vertices to components, members of different
-components with each other.  So a large group of near copies costs its size, not its square.
+compared with one of them only, the one that meets most others in all buckets: the text that the rest are copies of.  Once
+those links have joined vertices to components, the members that are still in different components are compared with each
+other, all that were met around one centre: in blocks of ``BLOCK``, a task for each pair of blocks, which counts common k-mers
+by an index and aligns only what these allow.  A task gives a link for each pair of components it finds joined; pairs of documents are not spelled out.
+So a large group of near copies costs its size in rows; what its members leave open costs comparisons, not rows.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ SMALL = 40  # documents of up to so many k-mers take the small sketches, those o
 SEED = 11
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
+BLOCK = 256  # documents of a block
 PART = 1 << 21  # cells of the matrix of hashes that are held at a time
 
 
@@ -175,10 +179,10 @@ def _keyed(with_sketches: bool):
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 values = np.concatenate([np.zeros(0, np.int64), *buckets])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                    names=["doc_id", "key", "buckets"])
+                    [pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["key", "buckets"])
             else:
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column("text")], names=["key", "text"])
+                rest = [c for c in batch.schema.names if c in ("doc_id", "text")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *map(batch.column, rest)], names=["key", *rest])
 
     return run
 
@@ -197,6 +201,52 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
+def _cross(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A link for each two components that are joined in a pair of blocks; rows come sorted by (centre, low, high)."""
+    hasher = Hasher()
+
+    def joined(group: list[tuple]) -> list[tuple[int, int]]:
+        if len({comp for _, _, comp, _ in group}) == 1:
+            return []
+        marked = [(block, vertex, comp, labelled(hasher.kmers(words_of(text)))) for block, vertex, comp, text in group]
+        low = min(block for block, *_ in marked)
+        left = [m for m in marked if m[0] == low]
+        right = [m for m in marked if m[0] != low] or left
+        every = np.concatenate([m[3] for m in right])
+        sizes = np.array([len(m[3]) for m in right])
+        owner = np.repeat(np.arange(len(right)), sizes)
+        order = np.argsort(every)
+        every, owner = every[order], owner[order]
+        found, done = [], set()
+        for _, vertex, comp, marks in left:
+            first, last = np.searchsorted(every, marks), np.searchsorted(every, marks, "right")
+            many = last - first
+            ends = np.cumsum(many)
+            at = np.repeat(first - (ends - many), many) + np.arange(ends[-1])
+            common = np.bincount(owner[at], minlength=len(right))
+            for j in np.flatnonzero(common >= LEAST / (1 + LEAST) * (sizes + len(marks))).tolist():
+                _, other, other_comp, other_marks = right[j]
+                two = (min(comp, other_comp), max(comp, other_comp))
+                if comp != other_comp and two not in done and similarity(marks, other_marks) >= LEAST:
+                    done.add(two)
+                    found.append((vertex, other))
+        return found
+
+    def batch_of(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    key, group = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("centre", "low", "high", "block", "id", "comp", "text")), strict=True):
+            if row[:3] != key:
+                if links := joined(group) if group else []:
+                    yield batch_of(links)
+                key, group = row[:3], []
+            group.append(row[3:])
+    if links := joined(group) if group else []:
+        yield batch_of(links)
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
@@ -210,50 +260,59 @@ def components(links: DataFrame) -> DataFrame:
     Each round hangs every neighbour onto the smallest vertex nearby, first the larger ones, then the smaller ones; after
     a few rounds (logarithmic in the longest path) what is left is a star per component.
     """
-    edges = keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    last = None
+    edges = keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while True:
+        # done when every vertex has one link down, and none of these ends has a link further down
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))).alias("e"))
+        ends = ends.groupBy("e.x").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("low"))
+        if ends.where("ups > 1 or (ups = 1 and low = 0)").isEmpty():
+            break
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = keep(small.where("u != v").distinct())
-        state = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == last:
-            break
-        last = state
     return edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(
         edges.select(F.col("v").alias("id"), F.col("v").alias("comp"))).distinct()
 
 
-def vertex_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``docs(doc_id, text)`` as ``doc_id, key``, and ``key, comp`` of every distinct text by its words."""
-    sketched = keep(docs.select("doc_id", "text").mapInArrow(_keyed(True), "doc_id long, key binary, buckets array<long>"))
-    rows = sketched.select("doc_id", "key")
+def vertex_classes(docs: DataFrame) -> DataFrame:
+    """``key, comp`` of every distinct text of ``docs(text)``, told apart by its words."""
+    sketched = docs.select("text").mapInArrow(_keyed(True), "key binary, buckets array<long>")
     distinct = sketched.groupBy("key").agg(F.first("buckets").alias("buckets"))
     vertices = keep(distinct.select("key", "buckets", F.monotonically_increasing_id().alias("id")))
     spread = vertices.select(F.explode("buckets").alias("bucket"), "id")
-    shared = spread.groupBy("bucket").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = keep(spread.join(shared.select("bucket", "first"), "bucket"))
+    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = keep(spread.join(shared, "bucket"))
+    meets = members.groupBy("id").agg(F.sum("n").alias("meets"))
+    members = members.select("bucket", "id").join(meets, "id")
+    centres = members.groupBy("bucket").agg(F.max_by("id", F.struct("meets", "id")).alias("centre"))
+    members = members.select("bucket", "id")
     names = vertices.select("key", "id")
     wanted = names.join(members.select("id").distinct(), "id")
-    texts = docs.select("doc_id", "text").mapInArrow(_keyed(False), "key binary, text string")
+    texts = docs.select("text").mapInArrow(_keyed(False), "key binary, text string")
     texts = keep(texts.join(wanted, "key").groupBy("id").agg(F.first("text").alias("text")))
-    pairs = keep(members.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
+    met = members.join(centres, "bucket").where("id != centre")
+    pairs = keep(met.select(F.greatest("centre", "id").alias("a"), F.least("centre", "id").alias("b")).distinct())
     links = _links(pairs, texts)
     found = keep(components(links))
 
-    # what the first vertex of a bucket has not joined: members of different components, among each other
+    # what the centre of a bucket has not joined: members of different components, among each other
     placed = members.join(found, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    open_ = keep(placed.join(mixed.select("bucket"), "bucket"))
-    one, two = open_.select("bucket", F.col("id").alias("a"), F.col("comp").alias("ca")), open_.select("bucket", F.col("id").alias("b"), F.col("comp").alias("cb"))
-    rest = one.join(two, "bucket").where("a < b and ca != cb").select("a", "b").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    more = _links(keep(rest), texts)
+    around = placed.join(mixed.select("bucket"), "bucket").join(centres, "bucket")
+    around = keep(around.select("centre", "id", "comp").distinct())
+    sizes = around.groupBy("centre").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = around.join(sizes.where("low != high").select("centre", blocks.alias("blocks")), "centre")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("centre", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "comp")
+    dealt = dealt.join(texts, "id").repartition("centre", "low", "high").sortWithinPartitions("centre", "low", "high")
+    more = keep(dealt.mapInArrow(_cross, "a long, b long"))
     found = keep(components(links.union(more)))
-    return rows, names.join(found, "id", "left").select("key", F.coalesce("comp", "id").alias("comp"))
+    return names.join(found, "id", "left").select("key", F.coalesce("comp", "id").alias("comp"))
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -263,8 +322,8 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     all null, empty and blank texts, which are like nothing else.  Rows that repeat are rows of the same class.  An empty table
     gives an empty result; further columns of ``docs`` are ignored.
     """
-    rows, classes = vertex_classes(docs)
-    placed = keep(rows.join(classes, "key").select("doc_id", "comp"))
+    rows = docs.select("doc_id", "text").mapInArrow(_keyed(False), "key binary, doc_id long, text string").select("doc_id", "key")
+    placed = keep(rows.join(vertex_classes(docs), "key").select("doc_id", "comp"))
     sizes = placed.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return placed.join(sizes, "comp").select("doc_id", "class_id", "class_size")
 
