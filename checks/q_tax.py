@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from checks.base_sql import NET, avg8, money4, pm
 from checks.domain import FIRST, LAST
 from checks.registry import QUERIES, add
-from pricemill.functions.tables import clear_period
 from pricemill.operators import tax_general as general
 from pricemill.operators.tax_medicine import tax_price
 
@@ -193,15 +191,6 @@ family(
     outside=f"CASE WHEN buyer_st_cd = 'SC' THEN 0.12{D} ELSE {SELLER_RATE} END", **GO_SC,
 )
 
-# The cleared table is the plain-margin family of one state.
-_plain = QUERIES["tax_plain_mva"]
-QUERIES["tax_clear"] = replace(
-    _plain,
-    key="tax_clear",
-    run=lambda d: clear_period(_family(d, ["MA"]), period_from="199801", period_to="200012"),
-    select=f"SELECT * FROM ({_plain.select}) WHERE buyer_st_cd = 'MA' AND (period_cd < '199801' OR period_cd > '200012')",
-)
-
 # ---- non-medicines -------------------------------------------------------------------------------
 
 

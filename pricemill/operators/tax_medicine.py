@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricemill.functions.numbers import dbl, mean, price, price_from_double
-from pricemill.functions.periods import add_months, in_range
+from pricemill.functions.periods import add_months, in_range, shift
 from pricemill.operators.buys import net_price
 
 # Fixed values -------------------------------------------------------------------------------------
@@ -89,14 +89,14 @@ def tax_inputs(
         F.col("gmrs_cd").alias("pck_gmrs_class_cd"), "icms_int_pct", "mva_orig_pct", "mva_12_pct",
         "mva_7_pct", "mva_4_pct", "red_mva_pct", "pcm_red_pct", "trava_pct",
     )
-    ceiling = list_m.select(*key, price("prc_amt").alias("ceiling"))
-    prior_d = list_d.select(
+    # Each list is cut to its own months before the joins, so that a partitioned list is not read whole.
+    before = shift(period_from, -1), shift(period_to, -1)
+    ceiling = list_m.filter(in_range(period_from, period_to)).select(*key, price("prc_amt").alias("ceiling"))
+    prior_d = list_d.filter(in_range(*before)).select(
         "pcmdty_id", add_months("period_cd", 1).alias("period_cd"), price("prc_amt").alias("d_prc")
     )
-    prices = (
-        ceiling.join(prior_d, key, "full").join(reference_price(sub_national), key, "full")
-        .filter(in_range(period_from, period_to))
-    )
+    reference = reference_price(sub_national.filter(in_range(*before, "period")))
+    prices = ceiling.join(prior_d, key, "full").join(reference, key, "full")
     return (
         buys.drop("pck_is_medcn_ind").filter(in_range(period_from, period_to) & _in(*STATES))
         .join(medicine, "pcmdty_id", "inner")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricemill.functions.periods import shift
@@ -59,19 +60,16 @@ class PriceStore:
 
     def read(self, name: str, like: DataFrame | None = None) -> DataFrame:
         """A table; period codes stay text.  ``like`` gives the schema of a table not written yet."""
-        reader = self.spark.read.option("mergeSchema", "false")
         if like is not None:
-            if not self._exists(name):
+            try:
+                return self.spark.read.schema(like.schema).parquet(self.path(name))
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
                 return like.limit(0)
-            return reader.schema(like.schema).parquet(self.path(name))
         with_text = self.spark.read.parquet(self.path(name))
         return with_text.withColumn("period_cd", F.col("period_cd").cast("string"))
 
-    def _exists(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
     def replace(self, name: str, df: DataFrame, period: str) -> DataFrame:
         """Write one month and read it back."""
         write_period(df, self.path(name), period)
@@ -82,8 +80,12 @@ class PriceStore:
         write_periods(cut_lineage(df), self.path(name))
 
 
-def run_month(store: PriceStore, inputs: Mapping[str, DataFrame], *, period: str, batch_id: str) -> None:
-    """Everything from raw purchases to completed price histories of one month.
+def run_month(
+    store: PriceStore, inputs: Mapping[str, DataFrame], *, period: str, batch_id: str, min_period: str = "202101"
+) -> None:
+    """Everything from raw purchases to completed price histories of one month, rewritten from ``min_period`` on.
+
+    Histories are rewritten from ``min_period`` on.
 
     ``inputs`` holds raw_buys, provider_factors, products, providers, outlets, states, list_d, list_l,
     list_m, class_bands, band, tax_medicine, sub_national, tipi, cest, icms, federal and sales.
@@ -118,12 +120,12 @@ def run_month(store: PriceStore, inputs: Mapping[str, DataFrame], *, period: str
     )
     geo_month = cut_lineage(weighting.step1_geo(filled))
     national_month = cut_lineage(weighting.step1_national(filled))
-    _complete_month(store, i, national_month, geo_month, period=period, batch_id=batch_id)
+    _complete_month(store, i, national_month, geo_month, period=period, batch_id=batch_id, min_period=min_period)
 
 
 def _complete_month(
     store: PriceStore, i: Mapping[str, DataFrame], national_month: DataFrame, geo_month: DataFrame,
-    *, period: str, batch_id: str,
+    *, period: str, batch_id: str, min_period: str,
 ) -> None:
     """Carry forward, smooth, estimate and complete the histories, then write the price tables."""
     month = {"period_from": period, "period_to": period}
@@ -160,11 +162,11 @@ def _complete_month(
     geo = geo.unionByName(estimates.explode_to_geo(estimated, i["states"], **month).select(*geo.columns))
     store.replace("national_price", national, period)
     store.replace("geo_price", geo, period)
-    _complete_history(store, i, national, geo, period=period)
+    _complete_history(store, i, national, geo, period=period, min_period=min_period)
 
 
 def _complete_history(
-    store: PriceStore, i: Mapping[str, DataFrame], national: DataFrame, geo: DataFrame, *, period: str
+    store: PriceStore, i: Mapping[str, DataFrame], national: DataFrame, geo: DataFrame, *, period: str, min_period: str
 ) -> None:
     """Back-fill and rewrite earlier months."""
     all_national = store.read("national_price", like=national)
@@ -172,19 +174,20 @@ def _complete_history(
     first_real = cut_lineage(history.backfill_first_real(all_national, period=period))
     late = cut_lineage(history.backfill_estimates(all_national, period=period))
     rewritten = cut_lineage(
-        history.rewrite_history(all_national, all_geo, i["products"], i["list_l"], period=period)
+        history.rewrite_history(
+            all_national, all_geo, i["products"], i["list_l"], period=period, min_period=min_period
+        )
     )
     copies = first_real.unionByName(late).select(*national.columns)
     geo_copies = history.backfill_geo(first_real, all_geo).unionByName(
         history.backfill_geo(late, all_geo, latest_product_only=True)
     )
-    touched = cut_lineage(
-        copies.select("period_cd").union(rewritten.select("period_cd")).distinct()
-    )
+    # At most one value per month of the history: literals, so that only the partitions of these months are read.
+    touched = [r[0] for r in copies.select("period_cd").union(rewritten.select("period_cd")).distinct().collect()]
 
     def updated(table: DataFrame, added: DataFrame) -> DataFrame:
         # Only months that change are read and written again.
-        old = table.join(touched, "period_cd", "left_semi").select(*table.columns)
+        old = table.filter(F.col("period_cd").isin(touched))
         return history.apply_rewrite(old, rewritten).unionByName(added.select(*table.columns))
 
     store.merge("national_price", updated(all_national, copies))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -30,16 +31,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is configured."""
+    """The cluster's shared checkpoint folder.
+
+    Without one, executors could not read what the others wrote; only a local master, whose threads share one machine,
+    gets a temporary folder instead.
+    """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    current = context.getCheckpointDir()
-    if current is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-        current = context.getCheckpointDir()
-    return current
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

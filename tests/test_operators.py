@@ -228,3 +228,24 @@ def test_smoothing_replaces_only_the_flagged_channel(spark):
     assert [(r.geo_lvl_cd, float(r.ppp_prc_amt)) for r in changed] == [("ACR", 100.0)]
     assert [float(r.ppp_prc_amt) for r in audit.collect()] == [900.0]
     assert smoothed.count() == len(rows)
+
+
+def test_tax_reads_only_the_months_of_each_price_list(spark, sf_dir, tmp_path):
+    from checks.domain import domain
+
+    d = domain(spark, sf_dir, "name")
+    lists = {}
+    for name, df, month in (
+        ("m", d.price_list("M"), "period_cd"), ("d", d.price_list("D"), "period_cd"), ("s", d.sub_national_cpp, "period"),
+    ):
+        df.write.partitionBy(month).parquet(f"{tmp_path}/{name}")
+        lists[name] = spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}")
+    taxed = tax_price(
+        d.buys_filtered, d.products, d.tax_medicine, lists["m"], lists["d"], lists["s"], period_from="199803", period_to="199803"
+    )
+    plan = taxed._jdf.queryExecution().executedPlan().toString()
+    for month, first in (("period_cd", "199803"), ("period_cd", "199802"), ("period", "199802")):
+        assert any(
+            "PartitionFilters" in line and f"{month}#" in line.split("PartitionFilters")[1] and first in line.split("PartitionFilters")[1]
+            for line in plan.splitlines()
+        ), (month, first)
