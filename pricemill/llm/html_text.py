@@ -27,7 +27,8 @@ LAYOUT_COPIES = 8
 
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript iframe xmp noembed noframes template svg math select button head object canvas".split())
+RAW = set("script style title textarea iframe xmp noembed noframes".split())  # without an end tag, the rest of the page is theirs
+SKIPPED = set("noscript template svg math select button object canvas".split())  # without an end tag, they are passed over
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter nobr output progress q "
     "rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -65,6 +66,7 @@ TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)",
     re.S,
 )
+END_TAGS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW | SKIPPED}
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden|data-label)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORDS = re.compile(r"[a-z]+(?:-ad)?", re.I)
 HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -132,7 +134,7 @@ def parse(page: str) -> Tree:
                 linked += len(text)
 
     at = 0
-    lowered = None
+    unended: set[str] = set()  # elements that no end tag follows
     while m := TOKEN.search(page, at):
         said(page[at : m.start()])
         at = m.end()
@@ -140,6 +142,9 @@ def parse(page: str) -> Tree:
         if not tag:
             continue
         tag, attrs = tag.lower(), m["attrs"] or m["attrs2"] or ""
+        if tag == "head":  # may lack an end tag; what it holds is no text
+            flush()
+            continue
         if m["end"] or m["end2"]:
             i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), None)
             if tag not in INLINE:
@@ -152,13 +157,16 @@ def parse(page: str) -> Tree:
                     continue
                 close(i)
             continue
-        if tag in RAW:
+        if tag in RAW or tag in SKIPPED:
             if tag not in ("button", "svg", "math", "select"):
                 flush()
-            if not attrs.rstrip().endswith("/"):
-                lowered = lowered or page.lower()
-                end = lowered.find(f"</{tag}", at)
-                at = len(page) if end < 0 else end
+            if tag not in unended and not (tag in ("svg", "math") and attrs.rstrip().endswith("/")):
+                if end := END_TAGS[tag].search(page, at):
+                    at = end.start()
+                elif tag in RAW:
+                    at = len(page)
+                else:
+                    unended.add(tag)
             continue
         if tag in VOID:
             if tag == "br":
@@ -181,8 +189,7 @@ def parse(page: str) -> Tree:
                     break
         roles, label = _roles(tag, attrs)
         stack.append((tag, tree.add(stack[-1][1], tag, roles, None, 0, label)))
-    if at < len(page) and not page[at:].startswith("<"):
-        said(page[at:])
+    said(page[at:])
     flush()
     return tree
 

@@ -418,3 +418,15 @@ def test_pipeline(spark, docs):
     assert {r.doc_id for r in single.collect()} == classes
     result = corpus_pipeline.run(spark, SMALL).collect()
     assert all(r.lossless for r in result) and {r.doc_id for r in result} <= classes
+
+
+@pytest.mark.parametrize(("page", "texts"), [
+    ("<head><title>t</title><body><header>h</header><p>x</p>", ["h", "x"]),
+    ("İİİİ<script>var a='</p>'</script><p>y</p>", ["İİİİ", "y"]),
+    ("<p>a<script src=/x/>no</script>b</p>< 5 z", ["a", "b", "< 5 z"]),
+    ("<button>no</BUTTON> a <button>b <p>c", ["a b", "c"]),
+    ("<p>k <select><option>1</select> m<svg/>n", ["k", "mn"]),
+    ("<p>x<style>no", ["x"]),
+])
+def test_text_blocks_of_untidy_pages(page, texts):
+    assert [t for t in html_text.parse(page).text if t] == texts
