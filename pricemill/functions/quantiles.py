@@ -1,13 +1,10 @@
 """Exact group quantiles that no hot group can overload.
 
 ``percentile`` keeps all values of a group in one aggregation buffer, so one product that holds a
-third of all transactions ends up in one task.  Groups are counted first.  Groups of up to
-``hot_rows`` rows are ranked by a window in one shuffle.  For the larger ones the values are counted
-per (group, bucket, value), where the bucket is a monotone function of the value; a cumulative count
-over the few thousand buckets of a group finds the bucket that holds each wanted rank, and only the
-distinct values of that bucket are ordered.
-
-The set of large groups is broadcast: it has at most (number of rows / ``hot_rows``) entries.
+third of all transactions ends up in one task.  Here the values are counted per (group, bucket,
+value), where the bucket is a monotone function of the value; a cumulative count over the few
+thousand buckets of a group finds the bucket that holds each wanted rank, and only the distinct
+values of that bucket are ordered.  All groups, large and small, take this way.
 """
 
 from __future__ import annotations
@@ -17,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pricemill.functions.numbers import MEAN
 
 BUCKETS_PER_E = 256  # one bucket spans 0.4 % of the value
-HOT_ROWS = 1_000_000
 
 
 def _bucket(value: Column) -> Column:
@@ -42,20 +38,8 @@ def _ranks(probabilities: list[float], interpolate: bool) -> list[tuple[int, Col
     return [(i, rank.cast("long")) for i, rank in ranks]
 
 
-def _hits_by_rank(rows: DataFrame, keys: list[str], ranks: list[tuple[int, Column]]) -> DataFrame:
-    """(keys, _total, _id, _value) of the wanted ranks, for groups of bounded size."""
-    group = Window.partitionBy(*keys)
-    ranked = rows.withColumn("_rank", F.row_number().over(group.orderBy("_value"))).withColumn(
-        "_total", F.count(F.lit(1)).over(group)
-    )
-    wanted = F.array(*[F.when(F.col("_rank") == rank, F.lit(i)) for i, rank in ranks])
-    return ranked.select(
-        *keys, "_total", F.explode(F.array_compact(wanted)).alias("_id"), "_value"
-    )
-
-
-def _hits_by_bucket(rows: DataFrame, keys: list[str], ranks: list[tuple[int, Column]]) -> DataFrame:
-    """The same for groups of any size."""
+def _hits(rows: DataFrame, keys: list[str], ranks: list[tuple[int, Column]]) -> DataFrame:
+    """(keys, _total, _id, _value) of the wanted ranks."""
     counted = (
         rows.withColumn("_bucket", _bucket(F.col("_value")))
         .groupBy(*keys, "_bucket", "_value")
@@ -121,24 +105,16 @@ def group_quantiles(
     names: list[str],
     interpolate: bool = False,
     count_name: str | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per group with a column per probability.
 
     ``interpolate=False`` returns the value at rank ``ceil(p * n)`` (what ``percentile_approx``
     returns at full accuracy); ``interpolate=True`` the continuous percentile of a price.
-    Null values are ignored.  ``df`` is read three times: keep it if it is expensive.
+    Null values are ignored.  ``df`` is read once: the histogram and the values of the wanted
+    buckets come from the same exchange of counts.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
-    hot = (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    )
-    is_hot = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    ranks = _ranks(probabilities, interpolate)
-    cold_hits = _hits_by_rank(rows.join(F.broadcast(hot), is_hot, "left_anti"), keys, ranks)
-    hot_hits = _hits_by_bucket(rows.join(F.broadcast(hot), is_hot, "left_semi"), keys, ranks)
-    hits = cold_hits.unionByName(hot_hits)
+    hits = _hits(rows, keys, _ranks(probabilities, interpolate))
 
     def at(i: int) -> Column:
         return F.max(F.when(F.col("_id") == i, F.col("_value")))

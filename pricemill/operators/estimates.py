@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricemill.functions.bounded import code_list, times, times_geos
+from pricemill.functions.bounded import times_geos
 from pricemill.functions.numbers import MEAN, PRICE, mean, price
-from pricemill.functions.periods import add_months, in_range
+from pricemill.functions.periods import add_months, in_range, months_between_list, with_months
 from pricemill.operators.buys import MIN_PRICE
 
 # Step code -> product attributes that define the group, most specific first.
@@ -142,8 +142,8 @@ def uncovered(
 ) -> DataFrame:
     """Products without a price in a month of the range that has prices."""
     priced = national.filter(in_range(period_from, period_to)).select("pcmdty_id", "period_cd")
-    months = code_list(priced, "period_cd")
-    every = times(products.select("pcmdty_id"), months, "period_cd")
+    every = with_months(products.select("pcmdty_id"), months_between_list(period_from, period_to))
+    every = every.join(priced.select("period_cd").distinct(), "period_cd", "left_semi")
     return every.join(priced, ["pcmdty_id", "period_cd"], "left_anti").select("pcmdty_id", "period_cd")
 
 

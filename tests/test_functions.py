@@ -68,8 +68,7 @@ def test_bounded_lists_refuse_long_ones(spark):
         df.select(one_value(codes, "c")).collect()
 
 
-@pytest.mark.parametrize("hot_rows", [0, 7, 1_000_000])
-def test_quantiles_against_brute_force(spark, hot_rows):
+def test_quantiles_against_brute_force(spark):
     """Group 0 holds a third of all rows; group 3 is made of copies of two values."""
     rng = random.Random(1)
     rows = [(0, rng.randint(-50, 500) / 100) for _ in range(400)]
@@ -81,7 +80,7 @@ def test_quantiles_against_brute_force(spark, hot_rows):
         if v is not None:
             groups.setdefault(k, []).append(v)
     got = group_quantiles(
-        df, ["k"], "v", [0.25, 0.75, 0.95], names=["a", "b", "c"], count_name="n", hot_rows=hot_rows
+        df, ["k"], "v", [0.25, 0.75, 0.95], names=["a", "b", "c"], count_name="n"
     ).collect()
     assert {r.k for r in got} == set(groups)
     for r in got:
@@ -90,8 +89,17 @@ def test_quantiles_against_brute_force(spark, hot_rows):
         assert r.n == n
         expected = [values[max(-(-n * p // 100), 1) - 1] for p in (25, 75, 95)]
         assert [float(r.a), float(r.b), float(r.c)] == pytest.approx(expected)
-    medians = group_quantiles(df, ["k"], "v", [0.5], names=["m"], interpolate=True, hot_rows=hot_rows)
+    medians = group_quantiles(df, ["k"], "v", [0.5], names=["m"], interpolate=True)
     for r in medians.collect():
         values = sorted(groups[r.k])
         n = len(values)
         assert float(r.m) == pytest.approx((values[(n - 1) // 2] + values[n // 2]) / 2)
+
+
+def test_quantiles_shuffle_the_input_once(spark, tmp_path):
+    spark.range(1000).selectExpr("cast(id % 7 as int) k", "cast(id as decimal(18,4)) v").write.parquet(f"{tmp_path}/v")
+    found = group_quantiles(spark.read.parquet(f"{tmp_path}/v"), ["k"], "v", [0.5], names=["m"])
+    assert found.count() == 7
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
