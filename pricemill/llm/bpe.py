@@ -28,7 +28,8 @@ DROPOUT = 0.1
 SEED = 17
 VARIANTS = 8
 LONG_CHUNK = 48  # characters; longer chunks take the priority queue
-BATCH_CHARACTERS = 4 << 20
+BATCH_CHARACTERS = 1 << 20
+MERGED_CHUNKS = 1 << 14  # distinct chunks that are merged together
 SLOTS = 20  # log2 of the slots of the table of pairs
 SPACE = "▁"
 NONE = np.int64(1) << np.int64(40)  # rank of a pair that does not merge
@@ -244,10 +245,14 @@ class Encoder:
         keys = ((crc[word] << np.uint64(8) | kind.astype(np.uint64)) + np.uint64(self.seed * K3 & MASK)) * np.uint64(K1)
         long = np.fromiter((len(w) > LONG_CHUNK for w in words), bool, len(words))[word]
         short = np.flatnonzero(~long)
-        ids, begin = self.merge_all([words[i] for i in word[short].tolist()], keys[short])
         first, size = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
-        first[short], size[short] = begin[:-1], np.diff(begin)
-        parts, at = [ids], len(ids)
+        parts, at = [np.zeros(0, np.int32)], 0
+        for low in range(0, len(short), MERGED_CHUNKS):
+            some = short[low : low + MERGED_CHUNKS]
+            ids, begin = self.merge_all([words[i] for i in word[some].tolist()], keys[some])
+            first[some], size[some] = at + begin[:-1], np.diff(begin)
+            parts.append(ids)
+            at += len(ids)
         for c in np.flatnonzero(long).tolist():
             parts.append(np.array(self.agenda(words[word[c]], int(kind[c])), np.int32))
             first[c], size[c] = at, len(parts[-1])
