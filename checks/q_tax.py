@@ -288,8 +288,10 @@ n("first_rate_per_key", "state_cd:s, ncm_cd:s, cest_cd:s, icms_typ_cd:s, icms_pc
   lambda d: general.first_icms_rate(d.icms), "SELECT * FROM icms1")
 n("first_federal_rate", "ncm_cd:s, ipi_pct:d, pis_cofins_typ_cd:s, pis_cofins_pct:d",
   lambda d: general.first_federal_rate(
-      d.federal.join(d.products.select("ncm_cd").distinct(), "ncm_cd", "left_semi")),
-  "SELECT * FROM fed1 WHERE ncm_cd IN (SELECT ncm_cd FROM products)")
+      d.federal.join(
+          d.products.select(F.col("ncm_cd").alias("_ncm")).distinct(),
+          F.split("ncm_cd", " - ")[0] == F.col("_ncm"), "left_semi")),
+  "SELECT * FROM fed1 WHERE split_part(ncm_cd, ' - ', 1) IN (SELECT ncm_cd FROM products)")
 n("nonmed_base", BASE, _base, "SELECT * FROM nbase")
 n("nonmed_rates", RATES, _rates, "SELECT * FROM nrate")
 n("nonmed_op_rate", RATES + ", icms_ops:d", lambda d: general.nonmed_op_rate(_rates(d)), "SELECT * FROM nops")
