@@ -6,10 +6,10 @@ estimates its bit by Krichevsky-Trofimov (counts + 1/2), and mixes: P_w = P_kt /
 The counts of the training texts fix the weights; a byte's probability is the mixture along its context, over all depths
 from none to ``DEPTH`` bytes.
 
-The tree keeps a context if a share of 1 / ``CONTEXTS`` of all training bytes follows it; so there are at most CONTEXTS
-per depth, and the model has a bound that does not grow with the corpus.  The contexts that a node does not
-keep form one more child, with what is left of its counts.  Counts come from all training texts, and every byte of every
-text is scored.
+The tree has every context of the training texts, however rare.  It is a table of the distinct runs of DEPTH + 1 bytes
+(codes) with their probabilities, which grows with the corpus and stays distributed; a context that only other texts
+have counts nothing there, and predicts 1/2 at each node.  Every byte of every text is scored: the HOT codes seen most
+often are sent to all tasks, the others meet the table in a join.
 """
 
 from __future__ import annotations
@@ -26,7 +26,10 @@ from pyspark.sql import DataFrame, functions as F
 from pricemill.llm.common import keep
 
 DEPTH = 5
-CONTEXTS = 1 << 17  # per depth, at most
+TOP = 2  # the driver joins the subtrees at this depth
+SUFFIX = (1 << 8 * (TOP + 1)) - 1
+HOT = 1 << 21  # codes that are sent to all tasks, at most
+SLICE = 1 << 19  # codes whose subtrees are handled together
 HEAVY = 1 << 20  # words with a share of 1 / HEAVY of all tokens are sent to all tasks: HEAVY words at most
 BATCH = 2 << 20  # bytes handled at a time
 GATHER = 1_000_000  # distinct runs of bytes that a task gathers before it sends them on
@@ -79,118 +82,128 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return out + (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r / 1680))) / y
 
 
-def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones seen at the 255 nodes of the eight decisions, from counts of 256 bytes."""
-    zeros, ones = [], []
-    for level in range(8):
-        halves = counts.reshape(len(counts), 1 << level, 2, 128 >> level).sum(3)
-        zeros.append(halves[:, :, 0])
-        ones.append(halves[:, :, 1])
-    return np.concatenate(zeros, 1), np.concatenate(ones, 1)
-
-
-def _log_kt(counts: np.ndarray) -> np.ndarray:
-    """Log of the Krichevsky-Trofimov estimate of what the 255 nodes saw; some contexts at a time, to save memory."""
-    out = np.empty((len(counts), 255))
-    for first in range(0, len(counts), 2048):
-        zeros, ones = _bits(counts[first : first + 2048])
-        out[first : first + 2048] = (
-            _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - math.log(math.pi))
+SMALL = {x: _log_gamma(np.arange(4096) + x) for x in (0.5, 1.0)}
+
+
+def _log_gamma_from(n: np.ndarray, x: float) -> np.ndarray:
+    """Log gamma of n + x; most counts are small and looked up."""
+    out = SMALL[x][np.minimum(n, 4095)]
+    large = np.flatnonzero(n > 4095)
+    out[large] = _log_gamma(n[large] + x)
     return out
 
 
-def _kt(counts: np.ndarray) -> np.ndarray:
-    """The estimate of a one at the 255 nodes."""
-    zeros, ones = _bits(counts)
-    return ((ones + 0.5) / (zeros + ones + 1.0)).astype(np.float32)
+def _parent(key: np.ndarray, level: int) -> np.ndarray:
+    """The node of the context that is one byte shorter; a node is context << level | the ``level`` bits so far."""
+    return key >> level + 8 << level | key & (1 << level) - 1
 
 
-def _tables(levels: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """Per depth, log probabilities of the next byte (context x 256) where no deeper context is kept.
+def _up(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, split: np.ndarray | None, level: int, depths: Iterable[int]) -> list[tuple]:
+    """The nodes of one decision at each of ``depths``, deepest first, from rows that belong to nodes of the deepest.
 
-    ``levels``: per depth the sorted contexts and their counts of 256 next bytes.
+    Per depth: the nodes, where each row or deeper node has its own among them, the weight of the node's estimate, the
+    estimate of a one, and log P_w.  ``split``: log P_w of the rows, where these are nodes one deeper.
     """
-    parents = [np.zeros(0, np.int64)] + [
-        np.searchsorted(levels[d - 1][0], levels[d][0] >> np.uint64(8)) for d in range(1, len(levels))]
-    below = None  # log P_w of the contexts one deeper
-    weights, rests = [None] * len(levels), [None] * len(levels)
-    for d in range(len(levels) - 1, -1, -1):
-        counts = levels[d][1].astype(np.float64)
-        own = _log_kt(counts)
-        if d == len(levels) - 1:
-            below, weights[d], rests[d] = own, np.ones_like(own, np.float32), None
-            continue
-        rest = counts.copy()
-        np.subtract.at(rest, parents[d + 1], levels[d + 1][1])
-        split = _log_kt(rest)
-        np.add.at(split, parents[d + 1], below)
-        below = np.logaddexp(own, split) - HALF
-        weights[d] = np.exp(np.minimum(0.0, own - HALF - below)).astype(np.float32)
-        rests[d] = _kt(rest)
-    tables, said, left = [], None, None
-    byte = np.arange(256)
-    for d, (_, counts) in enumerate(levels):
-        estimate = _kt(counts.astype(np.float64))
-        before = (said[parents[d]], left[parents[d]]) if d else (np.float32(0), np.float32(1))
-        said = before[0] + before[1] * weights[d] * estimate
-        left = before[1] * (1 - weights[d])
-        one = said if rests[d] is None else said + left * rests[d]
-        out = np.zeros((len(counts), 256), np.float32)
-        for first in range(0, len(counts), 2048):
-            for level in range(8):
-                p = one[first : first + 2048, (1 << level) - 1 + (byte >> (8 - level))].astype(np.float64)
-                out[first : first + 2048] += np.log(np.where(byte >> (7 - level) & 1, p, 1 - p))
-        tables.append(out)
-    return tables
+    nodes = []
+    for d in depths:
+        key, at = np.unique(key, return_inverse=True)
+        zeros, ones = (np.bincount(at, n, len(key)).astype(np.int64) for n in (zeros, ones))
+        weighted = _log_gamma_from(zeros, 0.5) + _log_gamma_from(ones, 0.5) - _log_gamma_from(zeros + ones, 1.0) - math.log(math.pi)
+        weight = np.ones(len(key))
+        if d < DEPTH:
+            own = weighted
+            weighted = np.logaddexp(own, np.bincount(at, split, len(key))) - HALF
+            weight = np.exp(np.minimum(0.0, own - HALF - weighted))
+        nodes.append((key, at, weight, (ones + 0.5) / (zeros + ones + 1.0), weighted))
+        key, split = _parent(key, level), weighted
+    return nodes
+
+
+def _down(nodes: list[tuple], said: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mixed estimate of a one, and weight left, for the rows that ``nodes`` came from; given both above the shallowest nodes."""
+    for _, at, weight, estimate, _ in reversed(nodes):
+        said, left = (said + left * weight * estimate)[at], (left * (1 - weight))[at]
+    return said, left
+
+
+def _rows(codes: np.ndarray, n: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Node at DEPTH, zeros, ones and the bit of each code at one decision."""
+    byte = codes >> 8 * DEPTH
+    bit = byte >> 7 - level & 1
+    return (codes & (1 << 8 * DEPTH) - 1) << level | byte >> 8 - level, n * (1 - bit), n * bit, bit
+
+
+def _subtrees(codes: np.ndarray, n: np.ndarray) -> Iterator[tuple]:
+    """Per decision, the rows' sums by node at depth TOP: level, node, zeros, ones, log P_w of all nodes below it."""
+    for level in range(8):
+        key, zeros, ones, _ = _rows(codes, n, level)
+        below = _up(key, zeros, ones, None, level, range(DEPTH, TOP, -1))
+        above, at = np.unique(_parent(below[-1][0], level), return_inverse=True)
+        split = np.bincount(at, below[-1][4], len(above))
+        for _, place, *_ in reversed(below):
+            at = at[place]
+        zeros, ones = (np.bincount(at, c, len(above)).astype(np.int64) for c in (zeros, ones))
+        yield level, above, zeros, ones, split
+
+
+def _tops(level: int, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, split: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted nodes at depth TOP, with the mixed estimate and the weight left after the depths 0 .. TOP."""
+    nodes = _up(key, zeros, ones, split, level, range(TOP, -1, -1))
+    said, left = _down(nodes, np.zeros(len(nodes[-1][0])), np.ones(len(nodes[-1][0])))
+    order = np.argsort(key)
+    return key[order], said[order], left[order]
+
+
+def _log_probabilities(codes: np.ndarray, n: np.ndarray, tops: list[tuple]) -> np.ndarray:
+    """Natural logarithm of each code's last byte given the bytes before it; all codes below a node at depth TOP + 1 are there."""
+    out = np.zeros(len(codes))
+    for level, (top, said, left) in enumerate(tops):
+        key, zeros, ones, bit = _rows(codes, n, level)
+        nodes = _up(key, zeros, ones, None, level, range(DEPTH, TOP, -1))
+        at = np.searchsorted(top, _parent(nodes[-1][0], level))
+        one, _ = _down(nodes, said[at], left[at])
+        out += np.log(np.where(bit, one, 1 - one))
+    return out
 
 
 class Model:
-    """Contexts by depth (sorted) and the log probabilities of the next byte."""
+    """The tree in one process, from the codes that were learnt and their counts."""
 
-    def __init__(self, contexts: list[np.ndarray], tables: list[np.ndarray]):
-        self.contexts, self.tables = contexts, tables
+    def __init__(self, codes: np.ndarray, n: np.ndarray):
+        self.codes, self.n = codes, n
 
     @classmethod
     def of(cls, levels: list[tuple[np.ndarray, np.ndarray]]) -> Model:
-        return cls([c for c, _ in levels], _tables(levels))
+        """``levels``: per depth the sorted contexts and their counts of 256 next bytes; the deepest has all that was learnt."""
+        contexts, counts = levels[DEPTH]
+        at, byte = np.nonzero(counts)
+        return cls(contexts[at].astype(np.int64) | byte.astype(np.int64) << 8 * DEPTH, counts[at, byte].astype(np.int64))
 
     def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
         """Natural logarithm of each code's last byte given the bytes before it."""
-        out = np.zeros(len(codes))
-        byte = (codes >> np.uint64(8 * DEPTH)).astype(np.int64)
-        open_ = np.arange(len(codes))
-        for d in range(len(self.contexts) - 1, -1, -1):
-            context = codes[open_] >> np.uint64(8 * (DEPTH - d)) & np.uint64((1 << 8 * d) - 1)
-            at = np.minimum(np.searchsorted(self.contexts[d], context), len(self.contexts[d]) - 1)
-            hit = self.contexts[d][at] == context if len(self.contexts[d]) else np.zeros(len(open_), bool)
-            out[open_[hit]] = self.tables[d][at[hit], byte[open_[hit]]]
-            open_ = open_[~hit]
-        return out
-
-    def scores(self, streams: list[bytes]) -> np.ndarray:
-        """log10 probability of each stream."""
-        if not streams:
-            return np.zeros(0)
-        codes, begins = codes_of(streams)
-        encoded = pa.array(codes).dictionary_encode()
-        table = self.log_probabilities(encoded.dictionary.to_numpy())
-        return np.add.reduceat(table[encoded.indices.to_numpy()], begins) / math.log(10)
+        every, at = np.unique(np.concatenate([self.codes, codes.astype(np.int64)]), return_inverse=True)
+        n = np.bincount(at[: len(self.codes)], self.n, len(every)).astype(np.int64)
+        tops = [_tops(*rows) for rows in _subtrees(every, n)]
+        return _log_probabilities(every, n, tops)[at[len(self.codes) :]]
 
 
 # Spark -----------------------------------------------------------------------------------------------------------------
 
 
 def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of bytes, how often training texts have them, and how often all texts do."""
     held: list[pa.Table] = []
 
     def summed() -> pa.Table:
-        return pa.concat_tables(held).group_by("code").aggregate([("n", "sum")]).rename_columns(["code", "n"])
+        return pa.concat_tables(held).group_by("code").aggregate([("n", "sum"), ("seen", "sum")]).rename_columns(["code", "n", "seen"])
 
-    texts = ((None, b" ".join(words_of(t)) + b"\0") for b in batches for t in b.column("text").to_pylist())
+    texts = ((h, b" ".join(words_of(t)) + b"\0") for b in batches for t, h in zip(*(b.column(c).to_pylist() for c in ("text", "held_out")), strict=True))
     for part in parts_of(texts):
         codes, _ = codes_of([s for _, s in part])
-        counts = pc.value_counts(pa.array(codes.view(np.int64)))
-        held.append(pa.table({"code": counts.field("values"), "n": counts.field("counts")}))
+        learnt = np.repeat([not h for h, _ in part], [len(s) for _, s in part])
+        encoded = pa.array(codes.view(np.int64)).dictionary_encode()
+        at, size = encoded.indices.to_numpy(), len(encoded.dictionary)
+        held.append(pa.table({"code": encoded.dictionary, "n": np.bincount(at[learnt], minlength=size), "seen": np.bincount(at, minlength=size)}))
         if sum(map(len, held)) > GATHER:
             held[:] = [summed()]
             if len(held[0]) > GATHER:
@@ -219,35 +232,73 @@ def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def train_model(texts: DataFrame) -> Model | None:
-    """The tree from all rows of ``texts(text)``; None if there are none.
+def _whole_subtrees(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """``code, n, seen`` of about SLICE codes at a time, all codes of a context of TOP + 1 bytes together; rows come sorted by it."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        held.append([batch.column(c).to_numpy() for c in ("code", "n", "seen")])
+        if sum(len(h[0]) for h in held) >= SLICE:
+            code, n, seen = map(np.concatenate, zip(*held, strict=True))
+            suffix = code >> 8 * (DEPTH - TOP - 1) & SUFFIX
+            last = int(np.argmax(suffix == suffix[-1]))
+            if last:
+                yield code[:last], n[:last], seen[:last]
+            held = [[code[last:], n[last:], seen[last:]]]
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for code, n, _ in _whole_subtrees(batches):
+        for level, *columns in _subtrees(code, n):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), level)), *map(pa.array, columns)], names=["level", "node", "zeros", "ones", "split"])
+
+
+def code_table(texts: DataFrame) -> DataFrame:
+    """``code, log_p, seen`` of every run of DEPTH + 1 bytes in ``texts(text, held_out)``: the natural logarithm of its last byte's
+    probability after those before, learnt from the rows that are not held out, and how often all rows have it.
 
-    The driver receives the counts of the contexts that are kept: at most CONTEXTS x 256 numbers per depth.
+    All nodes of the tree count.  The codes are dealt by the last TOP + 1 bytes of their context, so a task has whole
+    subtrees; it goes up them twice, first to sum log P_w by node at depth TOP, then to mix what comes down to it.  Between,
+    the driver works on the depths 0 .. TOP: 256 ** TOP contexts at most.
     """
-    grams = texts.select("text").mapInArrow(_gram_counts, "code long, n long")
-    grams = keep(grams.groupBy("code").agg(F.sum("n").alias("n")))
-    total = grams.agg(F.sum("n")).first()[0]
-    if not total:
-        return None
-    levels = []
-    for d in range(DEPTH + 1):
-        counts = grams.groupBy(F.shiftrightunsigned("code", 8 * (DEPTH - d)).alias("code")).agg(F.sum("n").alias("n"))
-        counts = counts.select(F.col("code").bitwiseAND((1 << 8 * d) - 1).alias("context"), F.shiftrightunsigned("code", 8 * d).alias("byte"), "n")
-        # a row per context and byte; a context has 256 rows at most, so the groups of the second step are small
-        rows = counts.groupBy("context").agg(F.sum("n").alias("all"), F.collect_list(F.struct("byte", "n")).alias("next"))
-        found = rows.where(F.col("all") * CONTEXTS >= total).select("context", F.explode("next").alias("next")).select("context", "next.*").toArrow()
-        context, at = np.unique(found["context"].to_numpy().astype(np.uint64), return_inverse=True)
-        table = np.zeros((len(context), 256), np.float64)
-        table[at, found["byte"].to_numpy()] = found["n"].to_numpy()
-        levels.append((context, table))
-    while len(levels) > 1 and not len(levels[-1][0]):
-        levels.pop()
-    return Model.of(levels)
+    spark = texts.sparkSession
+    grams = texts.select("text", "held_out").mapInArrow(_gram_counts, "code long, n long, seen long")
+    grams = grams.groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    suffix = F.shiftrightunsigned("code", 8 * (DEPTH - TOP - 1)).bitwiseAND(SUFFIX)
+    dealt = keep(grams.withColumn("suffix", suffix).repartition("suffix").sortWithinPartitions("suffix"))
+    sums = dealt.mapInArrow(_sums, "level long, node long, zeros long, ones long, split double")
+    sums = sums.groupBy("level", "node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "split")]).toArrow()
+    level, *columns = (sums[c].to_numpy() for c in ("level", "node", "zeros", "ones", "split"))
+    tops = spark.sparkContext.broadcast([_tops(d, *(c[level == d] for c in columns)) for d in range(8)] if len(level) else [])
+
+    def probabilities(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n, seen in _whole_subtrees(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(_log_probabilities(code, n, tops.value)), pa.array(seen)], names=["code", "log_p", "seen"])
+
+    return keep(dealt.mapInArrow(probabilities, "code long, log_p double, seen long"))
+
+
+def most_seen(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of ``table`` that are seen most often, HOT at most, sorted, and their ``log_p``: all with counts in the upper classes."""
+    kind = F.floor(8 * F.log2("seen")).cast("long")
+    least, held = None, 0
+    for k, n in sorted(map(tuple, table.groupBy(kind.alias("kind")).agg(F.count(F.lit(1))).collect()), reverse=True):
+        held += n
+        if held > HOT:
+            break
+        least = k
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0)
+    found = table.where(kind >= least).select("code", "log_p").toArrow()
+    code = found["code"].to_numpy()
+    order = np.argsort(code)
+    return code[order], found["log_p"].to_numpy()[order]
 
 
 SCHEMA = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-    "rare array<struct<word: binary, n: long>>"
+    "rare array<struct<word: binary, n: long>>, missed array<long>"
 )
 
 
@@ -262,8 +313,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
     rows = docs.select("doc_id", "text", held_out.alias("held_out"))
     training = rows.where(~F.col("held_out")).select("text")
-    model = train_model(training)
-    tree = spark.sparkContext.broadcast(None if model is None else (model.contexts, model.tables))
+    table = code_table(rows)
+    hot = spark.sparkContext.broadcast(most_seen(table))
 
     words = training.mapInArrow(_word_counts, "word binary, n long")
     words = keep(words.groupBy("word").agg(F.sum("n").alias("n")))
@@ -274,7 +325,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     smoothed = total + 0.5 * (distinct + 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = None if tree.value is None else Model(*tree.value)
+        hot_codes, hot_logs = hot.value
         known = {w: (n, math.log10((n + 0.5) / smoothed)) for w, n in heavy.value.items()}
         end = known.get(b"", (0, math.log10(0.5 / smoothed)))
 
@@ -294,7 +345,17 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
         for part in parts_of(streams()):
             texts = [s for _, s in part]
-            scores = fitted.scores(texts) if fitted else np.array([-len(s) * math.log10(256) for s in texts])
+            codes, begins = codes_of(texts)
+            encoded = pa.array(codes.view(np.int64)).dictionary_encode()
+            distinct, place = encoded.dictionary.to_numpy(), encoded.indices.to_numpy()
+            at = np.minimum(np.searchsorted(hot_codes, distinct), max(0, len(hot_codes) - 1))
+            hit = hot_codes[at] == distinct if len(hot_codes) else np.zeros(len(distinct), bool)
+            logs = np.zeros(len(distinct))
+            logs[hit] = hot_logs[at[hit]]
+            scores = np.add.reduceat(logs[place], begins) / math.log(10)
+            open_ = np.flatnonzero(~hit[place])
+            missed = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(open_, np.append(begins, len(codes))).astype(np.int32)), pa.array(distinct[place[open_]]))
             row, doc_id, held, n, seen, base, rare = zip(*(r for r, _ in part), strict=True)
             offsets = np.concatenate(([0], np.cumsum([len(r) for r in rare]))).astype(np.int32)
             pairs = pa.StructArray.from_arrays(
@@ -302,8 +363,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 pa.array(row, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(held), pa.array(n, pa.int64()),
                 pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(scores),
-                pa.ListArray.from_arrays(pa.array(offsets), pairs),
-            ], names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+                pa.ListArray.from_arrays(pa.array(offsets), pairs), missed,
+            ], names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "missed"])
 
     scored = keep(rows.select(F.monotonically_increasing_id().alias("row"), "*").mapInArrow(run, SCHEMA))
     # the rest of the base score: rare words meet their counts
@@ -313,6 +374,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     added = counted.groupBy("row").agg(
         F.sum(F.col("times") * F.log10((F.col("c") + 0.5) / F.lit(smoothed))).alias("more"),
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"))
-    return scored.join(added, "row", "left").select(
+    # and the rest of the score: codes that are not sent to the tasks meet the table
+    missed = scored.select("row", F.explode("missed").alias("code")).groupBy("row", "code").agg(F.count(F.lit(1)).alias("times"))
+    met = missed.join(table.select("code", "log_p"), "code").groupBy("row").agg((F.sum(F.col("times") * F.col("log_p")) / math.log(10)).alias("further"))
+    return scored.join(added, "row", "left").join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("further", F.lit(0.0))).alias("score"))

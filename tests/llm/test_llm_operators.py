@@ -302,6 +302,21 @@ def test_context_tree_weights_by_definition():
     assert np.exp(model.log_probabilities(every)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_scores_use_every_context(spark, monkeypatch):
+    """A rare context in a corpus of over 131,072 bytes, and codes that are not sent to the tasks, against the tree in one process."""
+    monkeypatch.setattr(context_tree, "HOT", 40)
+    monkeypatch.setattr(context_tree, "SLICE", 64)
+    common = " ".join(f"{w}{i % 37}" for i in range(900) for w in ("alpha", "beta", "gamma"))
+    made = [(i, common) for i in range(12)] + [(20, "zq7 xkcd"), (21, "zq7 xkcd"), (22, "zq7 xk!"), (23, None)]
+    got = {r.doc_id: r for r in context_tree.score_documents(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    streams = {d: b" ".join(context_tree.words_of(t)) + b"\0" for d, t in made}
+    learnt, n = np.unique(context_tree.codes_of([s for d, s in streams.items() if not got[d].held_out])[0], return_counts=True)
+    assert n.sum() > 131_072 and any(got[d].held_out for d in streams) and not (got[20].held_out and got[21].held_out)
+    model = context_tree.Model(learnt.astype(np.int64), n)
+    for d, s in streams.items():
+        assert got[d].score == pytest.approx(model.log_probabilities(context_tree.codes_of([s])[0]).sum() / math.log(10))
+
+
 def test_search_equals_brute_force(docs, rows, monkeypatch):
     monkeypatch.setattr(search, "SHARD_ROWS", 60)
     counted = {r.doc_id: Counter(search.terms_of(r.text)) for r in rows}
