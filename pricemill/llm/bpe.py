@@ -3,11 +3,12 @@
 A text is cut where no piece of the vocabulary can reach across (before a run of spaces, around a line feed); what lies
 between is a chunk.  A chunk starts as characters; of the candidate merges of neighbours, the one with the best score,
 then the leftmost, is taken next, until none is left.  With dropout, a candidate (start, middle and end in the chunk) is
-skipped where the keyed hash of seed, chunk, variant and candidate is below the rate.  The variant, one of ``VARIANTS``,
-is a hash of doc_id and the chunk's number, so a word is segmented differently from place to place, and alike in reruns.
+skipped where the keyed hash of the occurrence and candidate is below the rate.  The key of an occurrence is the 64-bit hash of
+seed, doc_id, chunk number and chunk, so every place of a word is decided anew, and alike in reruns.
 
 ``Encoder.agenda`` is the plain form with a priority queue.  ``Encoder.merge_all`` gives the same for many chunks at
-once: in each round every chunk takes its best merge.  Characters without a piece become byte pieces; so does U+2581,
+once: in each round every chunk takes its best merge.  ``Encoder.segment_all`` merges a word once for each set of candidates
+that any of its places skips on its way, and gives each place the result it would have alone.  Characters without a piece become byte pieces; so does U+2581,
 which stands for a space in pieces.  Decoding gives back the text, whatever the dropout.
 """
 
@@ -17,6 +18,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 from pathlib import Path
 
 import numpy as np
@@ -26,7 +28,6 @@ from pyspark.sql import DataFrame
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 17
-VARIANTS = 8
 LONG_CHUNK = 48  # characters; longer chunks take the priority queue
 BATCH_CHARACTERS = 1 << 20
 MERGED_CHUNKS = 1 << 14  # distinct chunks that are merged together
@@ -52,6 +53,11 @@ def _dropped_all(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np
     return h >> np.uint64(11) < np.uint64(limit)
 
 
+def _candidate(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A candidate of a chunk of at most LONG_CHUNK characters in 18 bits."""
+    return start.astype(np.int64) << 12 | middle.astype(np.int64) << 6 | end
+
+
 class Encoder:
     """``model``: the bytes of a SentencePiece BPE model with byte pieces and without normalisation."""
 
@@ -106,13 +112,19 @@ class Encoder:
 
     # one chunk -----------------------------------------------------------------------------------------------------
 
-    def chunk_key(self, chunk: str, variant: int) -> int:
-        word = zlib.crc32(chunk.encode("utf-8", "surrogatepass"))
-        return (((word << 8 | variant) + self.seed * K3) * K1) & MASK
+    def chunk_key(self, chunk: str, place: int) -> int:
+        h = (place + zlib.crc32(chunk.encode("utf-8", "surrogatepass")) * K2 + self.seed * K3) & MASK
+        h = ((h ^ (h >> 32)) * K1) & MASK
+        return ((h ^ (h >> 29)) * K3) & MASK
+
+    def chunk_keys(self, crc: np.ndarray, place: np.ndarray) -> np.ndarray:
+        h = place + crc * np.uint64(K2) + np.uint64(self.seed * K3 & MASK)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(K1)
+        return (h ^ (h >> np.uint64(29))) * np.uint64(K3)
 
-    def agenda(self, chunk: str, variant: int = 0) -> list[int]:
+    def agenda(self, chunk: str, place: int = 0) -> list[int]:
         """The ids of a chunk, by a priority queue of candidate merges."""
-        key, n = self.chunk_key(chunk, variant), len(chunk)
+        key, n = self.chunk_key(chunk, place), len(chunk)
         text: list[str | None] = list(chunk)
         ends, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
         queue: list[tuple[int, int, int, int]] = []
@@ -160,8 +172,14 @@ class Encoder:
             open_ = open_[~hit & (found != -1)]
         return out
 
-    def merge_all(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks in a row, and where each chunk begins in them (one more entry at the end)."""
+    def merge_all(
+        self, chunks: list[str], keys: np.ndarray | None, skipped: np.ndarray | None = None, taken: list | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and where each chunk begins in them (one more entry at the end).
+
+        Without ``keys``, just the candidates of the sorted array ``skipped`` (chunk << 18 | candidate) are skipped.
+        ``taken`` receives the merges of each round: chunks and candidates.
+        """
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
         letters = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
         symbol = self.by_character[letters]
@@ -175,15 +193,21 @@ class Encoder:
             where = np.flatnonzero((pair >= 0) & (chunk[at] == chunk[at + 1]))
             rank, merged = np.full(len(at), NONE), np.zeros(len(at), np.int32)
             at, pair = at[where], pair[where]
-            if self.limit:
+            if taken is not None or (keys is not None and self.limit):
                 third = np.minimum(at + 2, len(symbol) - 1)
                 end = np.where((chunk[third] == chunk[at]) & (third == at + 2), start[third], lengths[chunk[at]])
-                go = ~_dropped_all(keys[chunk[at]], start[at], start[at + 1], end, self.limit)
+                if keys is not None:
+                    go = ~_dropped_all(keys[chunk[at]], start[at], start[at + 1], end, self.limit)
+                else:
+                    ends[at] = end
+                    code = chunk[at].astype(np.int64) << 18 | _candidate(start[at], start[at + 1], end)
+                    go = skipped[np.minimum(np.searchsorted(skipped, code), len(skipped) - 1)] != code if len(skipped) else np.ones(len(at), bool)
                 where, pair = where[go], pair[go]
             rank[where], merged[where] = self.pair_rank[pair], self.pair_id[pair]
             return rank, merged
 
         rank, merged = np.full(len(symbol), NONE), np.zeros(len(symbol), np.int32)
+        ends = np.zeros(len(symbol), np.int64)
         if len(symbol) > 1:
             rank[:-1], merged[:-1] = candidates(np.arange(len(symbol) - 1))
         while len(symbol):
@@ -196,12 +220,14 @@ class Encoder:
                 done_symbol.append(symbol[ended])
                 done_chunk.append(chunk[ended])
             at = best[more] % len(symbol)
+            if taken is not None:
+                taken.append((chunk[at], _candidate(start[at], start[at + 1], ends[at])))
             symbol[at] = merged[at]
             live = ~ended
             live[at + 1] = False
             new_place = np.cumsum(live) - 1
             at = new_place[at]
-            symbol, chunk, start, rank, merged = symbol[live], chunk[live], start[live], rank[live], merged[live]
+            symbol, chunk, start, rank, merged, ends = symbol[live], chunk[live], start[live], rank[live], merged[live], ends[live]
             if len(at):
                 for place in (at, at[at > 0] - 1):
                     inner = place[place < len(symbol) - 1]
@@ -226,6 +252,58 @@ class Encoder:
             symbol, chunk = out, np.repeat(chunk, width)
         return symbol.astype(np.int32), np.searchsorted(chunk, np.arange(chunks + 1))
 
+    def segment_all(self, words: list[str], word: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them the ids of each place begin and how many there are; ``word`` and ``keys`` by place.
+
+        What a place skips matters only where the candidate would be taken.  So places start from the merges of their word without
+        dropout; the first of these that a place skips leads it to the merges without that one, which agree up to there, and so
+        on.  Each set of skipped candidates of a word is merged once.
+        """
+        out, first, size, total = [np.zeros(0, np.int32)], np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), 0
+        if not len(word):
+            return out[0], first, size
+        # nodes: a word, the candidates skipped so far (sorted), and the number of merges known to be taken
+        kinds, node = np.unique(word, return_inverse=True)
+        nodes_word, nodes_skip, nodes_from = kinds, [()] * len(kinds), np.zeros(len(kinds), np.int64)
+        open_ = np.arange(len(word))
+        while len(open_):
+            node_first, node_size, begins, merges = np.zeros(len(nodes_word), np.int64), np.zeros(len(nodes_word), np.int64), [np.zeros(1, np.int64)], []
+            for low in range(0, len(nodes_word), MERGED_CHUNKS):
+                skips = nodes_skip[low : low + MERGED_CHUNKS]
+                count = len(skips)
+                skipped = np.sort(np.array([i << 18 | c for i, skip in enumerate(skips) for c in skip], np.int64))
+                rounds: list = []
+                ids, begin = self.merge_all([words[w] for w in nodes_word[low : low + count].tolist()], None, skipped, rounds)
+                node_first[low : low + count], node_size[low : low + count] = total + begin[:-1], np.diff(begin)
+                out.append(ids)
+                total += len(ids)
+                of = np.concatenate([np.zeros(0, np.int64), *[r[0] for r in rounds]])
+                order = np.argsort(of, kind="stable")
+                merges.append(np.concatenate([np.zeros(0, np.int64), *[r[1] for r in rounds]])[order])
+                begins.append(begins[-1][-1] + np.cumsum(np.bincount(of, minlength=count)))
+            begin, path = np.concatenate(begins), np.concatenate(merges)
+            first[open_], size[open_] = node_first[node], node_size[node]
+            if not self.limit:
+                break
+            # the first merge of its path that each place skips, one step of all paths at a time
+            at, key = begin[node] + nodes_from[node], keys[open_]
+            end, gone = begin[node + 1], np.full(len(open_), -1)
+            walking = np.flatnonzero(at < end)
+            while len(walking):
+                c = path[at[walking]]
+                skips = _dropped_all(key[walking], c >> 12, c >> 6 & 63, c & 63, self.limit)
+                gone[walking[skips]] = at[walking[skips]]
+                walking = walking[~skips]
+                at[walking] += 1
+                walking = walking[at[walking] < end[walking]]
+            left = np.flatnonzero(gone >= 0)
+            kinds, at = np.unique(gone[left], return_inverse=True)
+            parent = np.searchsorted(begin, kinds, side="right") - 1
+            nodes_skip = [nodes_skip[p] + (c,) for p, c in zip(parent.tolist(), path[kinds].tolist(), strict=True)]
+            nodes_word, nodes_from = nodes_word[parent], kinds - begin[parent]
+            open_, node = open_[left], at
+        return np.concatenate(out), first, size
+
     # texts ---------------------------------------------------------------------------------------------------------
 
     def encode(self, texts: list[str | None], doc_keys: list[int]) -> list[np.ndarray]:
@@ -237,30 +315,25 @@ class Encoder:
             return [np.zeros(0, np.int32) for _ in texts]
         number = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         salt = np.repeat(np.array(doc_keys, np.uint64), sizes) + number.astype(np.uint64) * np.uint64(K2)
-        variant = ((salt * np.uint64(K1)) >> np.uint64(40)).astype(np.int64) % VARIANTS if self.limit else np.zeros(len(flat), np.int64)
-        codes, place = np.unique(flat.indices.to_numpy().astype(np.int64) * VARIANTS + variant, return_inverse=True)
-        words = flat.dictionary.to_pylist()
+        salt = (salt ^ (salt >> np.uint64(31))) * np.uint64(K1)
+        words, word = flat.dictionary.to_pylist(), flat.indices.to_numpy().astype(np.int64)
         crc = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)
-        word, kind = codes // VARIANTS, codes % VARIANTS
-        keys = ((crc[word] << np.uint64(8) | kind.astype(np.uint64)) + np.uint64(self.seed * K3 & MASK)) * np.uint64(K1)
         long = np.fromiter((len(w) > LONG_CHUNK for w in words), bool, len(words))[word]
+        first, spread = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
         short = np.flatnonzero(~long)
-        first, size = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
-        parts, at = [np.zeros(0, np.int32)], 0
-        for low in range(0, len(short), MERGED_CHUNKS):
-            some = short[low : low + MERGED_CHUNKS]
-            ids, begin = self.merge_all([words[i] for i in word[some].tolist()], keys[some])
-            first[some], size[some] = at + begin[:-1], np.diff(begin)
-            parts.append(ids)
-            at += len(ids)
+        ids, first[short], spread[short] = self.segment_all(words, word[short], self.chunk_keys(crc[word[short]], salt[short]))
+        parts, at = [ids], len(ids)
+        alike: dict[int, tuple[int, int]] = {}
         for c in np.flatnonzero(long).tolist():
-            parts.append(np.array(self.agenda(words[word[c]], int(kind[c])), np.int32))
-            first[c], size[c] = at, len(parts[-1])
-            at += len(parts[-1])
+            w = int(word[c])
+            if self.limit or w not in alike:
+                parts.append(np.array(self.agenda(words[w], int(salt[c])), np.int32))
+                alike[w] = at, len(parts[-1])
+                at += len(parts[-1])
+            first[c], spread[c] = alike[w]
         ids = np.concatenate(parts)
-        spread = size[place]
         ends = np.cumsum(spread)
-        out = ids[np.repeat(first[place] - (ends - spread), spread) + np.arange(ends[-1])]
+        out = ids[np.repeat(first - (ends - spread), spread) + np.arange(ends[-1])]
         return np.split(out, np.concatenate(([0], ends))[np.cumsum(sizes)][:-1])
 
     def decode_all(self, ids: np.ndarray) -> bytes:
@@ -301,7 +374,7 @@ def encode_documents(docs: DataFrame, model_file: str = MODEL_FILE, dropout: flo
                     size += len(texts[end] or "")
                     end += 1
                 some = texts[at:end]
-                tokens = encoder.encode(some, [zlib.crc32(str(i).encode()) for i in ids[at:end]])
+                tokens = encoder.encode(some, [int.from_bytes(blake2b(str(i).encode(), digest_size=8).digest(), "little") for i in ids[at:end]])
                 ids_in_a_row = np.concatenate(tokens)
                 same = [True] * len(some)
                 if encoder.decode_all(ids_in_a_row) != "".join(" " + s for s in some if s).encode("utf-8", "surrogatepass"):

@@ -200,6 +200,21 @@ def test_bpe_equals_the_library_and_decodes(docs, rows):
     assert sum(r.n_tokens for r in got.values()) > sum(map(len, library.encode([r.text for r in rows])))
 
 
+def test_every_place_of_a_word_is_segmented_by_its_own_key():
+    model = open(bpe.MODEL_FILE, "rb").read()
+    plain, dropping = bpe.Encoder(model, 0.0), bpe.Encoder(model)
+    words = [" international", " segmentation", " a", "b", " \u2581日本"]
+    word = np.arange(4000) % len(words)
+    places = np.arange(4000, dtype=np.uint64) * np.uint64(bpe.K1)
+    crc = np.array([zlib.crc32(w.encode()) for w in words], np.uint64)
+    ids, first, size = dropping.segment_all(words, word, dropping.chunk_keys(crc[word], places))
+    for i, w in enumerate(word.tolist()):
+        assert ids[first[i] : first[i] + size[i]].tolist() == dropping.agenda(words[w], int(places[i]))
+    # one frequent word is segmented in more than a few fixed ways
+    found = Counter(tuple(t.tolist()) for t in dropping.encode(["international"] * 5000, list(range(5000))))
+    assert len(found) > 8 and found.most_common(1)[0][0] == tuple(plain.encode(["international"], [5])[0].tolist())
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     sf_dir = "/root/testdata/sf0.01"
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
