@@ -181,7 +181,7 @@ def _keyed(with_sketches: bool):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["key", "buckets"])
             else:
-                rest = [c for c in batch.schema.names if c in ("doc_id", "text")]
+                rest = [c for c in batch.schema.names if c in ("doc_id", "text", "low", "high")]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *map(batch.column, rest)], names=["key", *rest])
 
     return run
@@ -329,8 +329,18 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their class; of rows that repeat it, one."""
-    classes = near_duplicate_classes(docs)
-    chosen = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else kept
+    """One row of every class: the one with the smallest doc_id, rows without one last; of those, by the hash of the row.
+
+    Rows with equal doc_id in different classes all stay.  The choice does not depend on the order of the rows.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # hashes pass over nulls, so what is null is hashed too
+    low, high = (F.xxhash64(F.lit(salt), F.struct(*columns), F.struct(*[c.isNull() for c in columns])) for salt in (1, 2))
+    marked = docs.select("doc_id", "text", low.alias("low"), high.alias("high"), F.struct(*columns).alias("doc"))
+    keyed = marked.select("doc_id", "text", "low", "high").mapInArrow(_keyed(False), "key binary, doc_id long, text string, low long, high long")
+    rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "low", "high")
+    firsts = keyed.groupBy("key").agg(F.min(rank).alias("first")).join(vertex_classes(docs), "key")
+    chosen = firsts.groupBy("comp").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("_id"), F.col("first.low").alias("_low"), F.col("first.high").alias("_high"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("low") == F.col("_low")) & (F.col("high") == F.col("_high"))
+    return marked.select("doc_id", "low", "high", "doc").join(chosen, same, "left_semi").dropDuplicates(["doc_id", "low", "high"]).select("doc.*")

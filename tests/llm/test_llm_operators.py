@@ -257,6 +257,35 @@ def test_a_large_group_of_near_copies(spark):
     assert all(got[d] == 0 for d in near if near[d])
 
 
+def test_one_row_of_every_class(spark, awkward):
+    """Repeated and missing doc_ids: unlike texts stay, whatever the order; of a class one row stays."""
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"]
+    made = [
+        (3, texts[0]), (7, texts[0]), (7, texts[1]), (7, texts[2]), (7, texts[2]), (None, texts[3]), (None, texts[4]), (None, texts[2]),
+        (None, texts[4]), (None, None), (9, ""), (None, texts[5] + " more"), (None, texts[5]),
+    ]
+    want = {(3, texts[0]), (7, texts[1]), (7, texts[2]), (None, texts[3]), (None, texts[4]), (9, "")}
+    seen = set()
+    for data in (made, made[::-1]):
+        df = spark.createDataFrame(data, "doc_id long, text string").repartition(3 if data is made else 1)
+        got = [tuple(r) for r in near_duplicates.one_of_each(df).collect()]
+        assert len(got) == 7 and want < set(got)
+        seen.add(frozenset(got))
+    assert len(seen) == 1
+    single = near_duplicates.one_of_each(awkward)
+    assert single.columns == awkward.columns
+    assert sorted(str(r.doc_id) for r in single.collect()) == ["1", "10", "3", "6", "8", "9", "None"]
+    assert near_duplicates.one_of_each(awkward.limit(0)).count() == 0
+
+
+def test_awkward_rows_through_the_language_stage(awkward):
+    kept = language.known_language(awkward)
+    assert kept.columns == awkward.columns
+    found = Counter(r.doc_id for r in kept.collect())
+    assert not found.keys() & {1, 2, 5} and found[6] in (0, 2) and all(n == 1 for d, n in found.items() if d != 6)
+    assert language.known_language(awkward.limit(0)).count() == 0
+
+
 def test_context_tree(docs, rows):
     counts = Counter()
     for r in rows:
