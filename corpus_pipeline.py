@@ -23,13 +23,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes: a row per document and pass over its source that takes words of it."""
+    """What the mix takes: a row per output shard, slot and span of a document in it."""
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, segmented with merge-dropout and checked to decode to the text."""
-    return bpe.encode_documents(docs)
+    """Token ids of every text with its place in the mix, segmented with merge-dropout and checked to decode to the text."""
+    return bpe.encode_documents(docs, place=[c for c in mixing.PLACE if c in docs.columns])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

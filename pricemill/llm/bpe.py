@@ -17,7 +17,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from hashlib import blake2b
 from pathlib import Path
 
@@ -353,12 +353,14 @@ class Encoder:
 SCHEMA = "doc_id long, n_tokens long, token_ids array<int>, lossless boolean"
 
 
-def encode_documents(docs: DataFrame, model_file: str = MODEL_FILE, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, model_file: str = MODEL_FILE, dropout: float = DROPOUT, seed: int = SEED, place: Sequence[str] = ()
+) -> DataFrame:
     """Token ids of every whole text of ``docs(doc_id, text)``; ``lossless``: they decode to the text.
 
     A null or empty text has no tokens (and counts as lossless: it decodes to the empty text).  Repeated rows with equal
     doc_id are encoded alike, a null doc_id has a key of its own.  An empty table gives an empty result; further columns of
-    ``docs`` are ignored.  The driver reads the model file; tasks get its bytes.
+    ``docs`` are ignored, but the long columns ``place`` are kept and belong to the key as doc_id does.  The driver reads the model file; tasks get its bytes.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Path(model_file).read_bytes())  # the file of a vocabulary
 
@@ -367,6 +369,7 @@ def encode_documents(docs: DataFrame, model_file: str = MODEL_FILE, dropout: flo
         for batch in batches:
             encoder = encoder or Encoder(shared.value, dropout, seed)
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            places = list(zip(*[batch.column(c).to_pylist() for c in ("doc_id", *place)], strict=True))
             at = 0
             while at < len(ids):
                 end, size = at, 0
@@ -374,7 +377,8 @@ def encode_documents(docs: DataFrame, model_file: str = MODEL_FILE, dropout: flo
                     size += len(texts[end] or "")
                     end += 1
                 some = texts[at:end]
-                tokens = encoder.encode(some, [int.from_bytes(blake2b(str(i).encode(), digest_size=8).digest(), "little") for i in ids[at:end]])
+                tokens = encoder.encode(some, [
+                    int.from_bytes(blake2b(":".join(map(str, p)).encode(), digest_size=8).digest(), "little") for p in places[at:end]])
                 ids_in_a_row = np.concatenate(tokens)
                 same = [True] * len(some)
                 if encoder.decode_all(ids_in_a_row) != "".join(" " + s for s in some if s).encode("utf-8", "surrogatepass"):
@@ -383,7 +387,8 @@ def encode_documents(docs: DataFrame, model_file: str = MODEL_FILE, dropout: flo
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[at:end], pa.int64()), pa.array(np.diff(offsets).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids_in_a_row, pa.int32())), pa.array(same),
-                ], names=["doc_id", "n_tokens", "token_ids", "lossless"])
+                    *[batch.column(c)[at:end] for c in place],
+                ], names=["doc_id", "n_tokens", "token_ids", "lossless", *place])
                 at = end
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text", *place).mapInArrow(run, ", ".join([SCHEMA, *[f"{c} long" for c in place]]))

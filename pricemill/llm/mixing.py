@@ -22,6 +22,7 @@ WEIGHTS = (3, 1, 2)  # of the sources in order, repeating
 SEED = 20
 DRAWS_PER_ROW = 10_000
 WALK = 64
+PLACE = ("mix_shard", "mix_slot", "mix_at")  # output shard, slot in it, and first word in the slot's block
 
 
 def permutation(x: Column, n: Column, *salt: Column) -> Column:
@@ -110,17 +111,25 @@ def place_documents(sized: DataFrame, sources: DataFrame, rows: int, order: list
 
 
 def pieces_of(placed: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Per document, block and draw of the block: ``sid, row, pass, from, to``, a span of the document's words."""
+    """Per document, block and draw of the block: ``sid, row, shard, slot, at, from, to``, a span of the document's words and
+    where in the mix it goes: from word ``at`` on of the block in that slot of the shard."""
     start, end = F.col("start"), F.col("start") + F.col("size")
     parts = placed.where("size > 0").select(
         "sid", "row", "start", end.alias("end"),
         F.explode(F.sequence(F.floor(start / BLOCK).cast("long"), F.floor((end - 1) / BLOCK).cast("long"))).alias("block"))
-    uses = drawn.select("sid", "block", "pass", "words")
+    uses = drawn.select("sid", "block", "words", "shard", "slot")
     met = parts.join(uses, ["sid", "block"])
     first = F.greatest(F.col("start"), F.col("block") * BLOCK)
     last = F.least(F.col("end"), F.col("block") * BLOCK + F.col("words"))
-    return met.select("sid", "row", "pass", (first - F.col("start")).alias("from"), (last - F.col("start")).alias("to")).where(
-        F.col("to") > F.col("from"))
+    return met.select(
+        "sid", "row", "shard", "slot", (first - F.col("block") * BLOCK).alias("at"), (first - F.col("start")).alias("from"),
+        (last - F.col("start")).alias("to")).where(F.col("to") > F.col("from"))
+
+
+def spans_of(placed: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Per document of which something is taken: ``sid, row, taken, spans``; spans in the order of the mix."""
+    spans = F.sort_array(F.collect_list(F.struct("shard", "slot", "at", "from", "to")))
+    return pieces_of(placed, drawn).groupBy("sid", "row").agg(F.sum(F.col("to") - F.col("from")).alias("taken"), spans.alias("spans"))
 
 
 def sized_documents(docs: DataFrame, *more: str) -> DataFrame:
@@ -129,7 +138,8 @@ def sized_documents(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs(doc_id, text, source)`` with the words that the mix takes of it.
+    """Every row of ``docs(doc_id, text, source)`` with the words that the mix takes of it: how many, and as ``spans`` the shard,
+    slot, first word in the slot's block, and words (from, to) of the document.
 
     A null or empty text has size 0 and nothing taken; a null source is a source of its own.  Rows that repeat, doc_id
     included, are separate rows of the stream.  An empty table gives an empty result; further columns are ignored.
@@ -137,31 +147,39 @@ def mix(docs: DataFrame) -> DataFrame:
     sized = keep(sized_documents(docs))
     sources = keep(source_targets(sized))
     placed = keep(place_documents(sized, sources, sized.count(), [F.col("doc_id"), F.col("size")]))
-    taken = pieces_of(placed, draws(sources)).groupBy("sid", "row").agg(F.sum(F.col("to") - F.col("from")).alias("taken"))
+    taken = spans_of(placed, draws(sources))
+    none = F.array().cast(taken.schema["spans"].dataType)
     return placed.join(taken, ["sid", "row"], "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("spans", none).alias("spans"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as documents: one row per document and pass that takes some of it, with the columns of ``docs``.
+    """The mix: one row per shard, slot and document span in the slot's block, with the columns of ``docs`` and PLACE.
 
-    A pass that takes a whole document keeps its text as it is; otherwise text has the words taken, in order, joined by
-    one space, and n_chars counts them.  Documents of which nothing is taken are left out.
+    By (mix_shard, mix_slot, mix_at) the rows are in the order of the mix.  A span of a whole document keeps its text as it is;
+    otherwise text has the words of the span, joined by one space.  n_chars counts them.  Documents of which nothing is taken
+    are left out; columns of ``docs`` named as those of PLACE are replaced.
     """
-    columns = docs.columns
+    columns = [c for c in docs.columns if c not in PLACE]
     whole = sized_documents(docs, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"))
     sources = keep(source_targets(keep(sized_documents(docs).groupBy("source").agg(F.sum("size").alias("size")))))
     order = [F.col("doc_id"), F.col("size"), F.xxhash64("doc")]
     placed = place_documents(whole, sources, docs.count(), order)
     narrow = keep(placed.select("sid", "row", "start", "size"))
-    spans = pieces_of(narrow, draws(sources)).groupBy("sid", "row", "pass").agg(
-        F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans"), F.sum(F.col("to") - F.col("from")).alias("taken"))
-    met = placed.join(spans, ["sid", "row"])
+    met = placed.join(spans_of(narrow, draws(sources)), ["sid", "row"])
     words = F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), F.lit(0))
-    some = F.transform(F.array(words), lambda all_words: F.array_join(F.flatten(F.transform(
-        "spans", lambda s: F.slice(all_words, (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")))), " "))[0]
-    text = F.when(F.col("taken") == F.col("size"), F.col("doc.text")).otherwise(some)
-    made = met.select("doc", text.alias("text"))
-    return made.select(*[
-        F.col("text") if c == "text" else F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"doc.`{c}`")
-        for c in columns])
+
+    def piece(all_words: Column, s: Column) -> Column:
+        some = F.array_join(F.slice(all_words, (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")), " ")
+        text = F.when(s["to"] - s["from"] == F.col("size"), F.col("doc.text")).otherwise(some)
+        return F.struct(s["shard"].alias("shard"), s["slot"].alias("slot"), s["at"].alias("at"), text.alias("text"))
+
+    # the words of a text are found once for all its spans
+    pieces = F.transform(F.array(words), lambda all_words: F.transform("spans", lambda s: piece(all_words, s)))[0]
+    rest = F.struct(*[F.col(f"doc.`{c}`") for c in columns if c != "text"])
+    made = met.select(rest.alias("others"), F.explode(pieces).alias("piece"))
+    return made.select(
+        *[F.col("piece.text") if c == "text" else F.length("piece.text").cast("long").alias(c) if c == "n_chars" else F.col(f"others.`{c}`")
+          for c in columns],
+        *[F.col(f"piece.{k}").alias(c) for k, c in zip(("shard", "slot", "at"), PLACE, strict=True)])

@@ -182,6 +182,46 @@ def test_mix_equals_brute_force(docs, rows):
     assert sum(len(r.text.encode().split()) for r in pieces) == sum(r.taken for r in got.values())
 
 
+def test_mix_has_shards_of_interleaved_blocks(docs, awkward, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 128)
+    source = {r.doc_id: r.source for r in docs.collect()}
+    pieces = mixing.mixed_documents(docs).collect()
+    slots = defaultdict(list)
+    for r in pieces:
+        slots[r.mix_shard, r.mix_slot].append((r.mix_at, len(r.text.encode().split()), r.source))
+    shards = defaultdict(list)
+    for (shard, slot), found in sorted(slots.items()):
+        at = 0
+        for begin, n, _ in sorted(found):
+            assert begin == at
+            at += n
+        assert at <= mixing.BLOCK and len({s for _, _, s in found}) == 1
+        shards[shard].append((slot, found[0][2]))
+    # shards are full but for the last one; in each the sources' counts follow the totals, and their blocks alternate
+    assert sorted(shards) == list(range(len(shards))) and len(shards) > 2
+    drawn = Counter(s for found in shards.values() for _, s in found)
+    total = sum(drawn.values())
+    for shard, found in shards.items():
+        assert [slot for slot, _ in found] == list(range(len(found))) and (len(found) == 128 or shard == len(shards) - 1)
+        here = Counter(s for _, s in found)
+        for s, n in drawn.items():
+            share = n / total
+            assert abs(here[s] - share * len(found)) < 5 * math.sqrt(share * (1 - share) * len(found)) + 1
+        if len(found) == 128:
+            assert sum(a[1] != b[1] for a, b in zip(found, found[1:])) > 2 * len(here)
+    spans = Counter()
+    for r in mixing.mix(docs).collect():
+        assert sum(p.to - p["from"] for p in r.spans) == r.taken
+        spans.update((source[r.doc_id], p.shard, p.slot, p.at) for p in r.spans)
+    assert spans == Counter((r.source, r.mix_shard, r.mix_slot, r.mix_at) for r in pieces)
+    # repeated rows, rows without doc_id, source or text
+    taken = sum(r.taken for r in mixing.mix(awkward).collect())
+    rows = mixing.mixed_documents(awkward)
+    assert rows.columns == [*awkward.columns, *mixing.PLACE]
+    assert sum(len(r.text.encode().split()) for r in rows.collect()) == taken > 0
+    assert mixing.mixed_documents(awkward.limit(0)).count() == 0
+
+
 def test_bpe_equals_the_library_and_decodes(docs, rows):
     import sentencepiece
 
