@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pricemill.llm import (
-    bpe, context_tree, fingerprints, html_text, language, mixing, near_duplicates, search, sharding, warc,
+    bpe, context_tree, conversations, fingerprints, html_text, language, mixing, near_duplicates, personal_data, search, sharding, warc,
+    whitening,
 )
 from pricemill.llm.common import table
-from pricemill.llm.sql import WARC_SQL
+from pricemill.llm.sql import PERSONAL_DATA_SQL, WARC_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,9 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": over("pages", html_text.extract_pages),
     "op9_warc": over("pages", warc.archive_pages),
     "op10_sharding": over("documents", sharding.shard_documents),
+    "op11_conversation_repair": over("conversations", conversations.repair_damaged),
+    "op12_personal_data": over("documents", personal_data.digest_personal_data),
+    "op13_embedding_whitening": over("embeddings", whitening.whiten),
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_warc": WARC_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_warc": WARC_SQL, "op12_personal_data": PERSONAL_DATA_SQL}
