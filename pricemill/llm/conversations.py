@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricemill.llm.common import keep
 
-PIECE = 128
+PIECE = 64
 RENAME, DELETE, INSERT, CUT = 1, 2, 5, 5  # costs; CUT is added for a truncated row that stays
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 NEVER = 1 << 60
@@ -153,15 +153,19 @@ def whole(codes: str) -> tuple[int, str]:
 
 
 def costs_between(codes: str) -> list[int]:
-    """The least cost from every state to every state, row by row of the 4 x 4 matrix."""
+    """The least cost from every state to every state, row by row of the 4 x 4 matrix.
+
+    No edit leads back to the first two states, so only deletions stay in one, and one kept row leads from the first to the
+    second; what ends after user or assistant is searched.
+    """
+    deleted = DELETE * len(codes)
+    kept = min((CUT * code.isupper() for code in codes if code in "sS"), default=NEVER) - DELETE
+    ends = {leave: tuple(0 if state == leave else NEVER for state in STATES) for leave in (USER, ASSISTANT)}
     out = []
     for entry in STATES:
-        for leave in STATES:
-            possible = (
-                leave in (USER, ASSISTANT) or leave == entry or (entry == START and leave == SYSTEM and "s" in codes.lower())
-            )
-            ends = tuple(0 if state == leave else NEVER for state in STATES)
-            out.append(search(codes, entry, ends)[0] if possible else NEVER)
+        out.append(deleted if entry == START else NEVER)
+        out.append(deleted if entry == SYSTEM else min(NEVER, deleted + kept) if entry == START else NEVER)
+        out += [search(codes, entry, ends[leave])[0] for leave in (USER, ASSISTANT)]
     return out
 
 
