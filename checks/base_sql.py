@@ -201,7 +201,10 @@ raw_buys AS (
   SELECT upper('L' || line_id) AS line_id, CAST(dsupp_proc_id AS VARCHAR) AS dsupp_proc_id, trans_dt,
     CAST(o_custkey AS VARCHAR) AS store_cd, CAST(l_suppkey AS VARCHAR) AS origin_whlslr_id,
     CASE WHEN dsupp_is_assc_ind = 1 OR l_suppkey % 3 = 1 THEN {SUPPLIER_ID.format(k='l_suppkey')} ELSE {CUSTOMER_ID.format(k='o_custkey')} END AS origin_cnpj_fiscal_id,
-    icms_typ_cd, CAST(l_orderkey AS VARCHAR) AS invc_nbr, pcmdty_id, CAST(units AS DECIMAL(18,4)) AS units_qty,
+    icms_typ_cd, CAST(l_orderkey AS VARCHAR) AS invc_nbr, CAST(pcmdty_id AS VARCHAR) AS origin_dsupp_prod_cd, pcmdty_id,
+    CAST(units AS DECIMAL(18,4)) AS units_qty, CAST(0 AS DECIMAL(18,4)) AS icms_tax_amt, CAST(0 AS DECIMAL(18,4)) AS discount_amt,
+    CAST(pcmdty_id AS VARCHAR) AS destination_dsupp_prod_cd, CAST(pcmdty_id AS VARCHAR) AS destination_dsupp_prod_ean_cd,
+    '2001-08-01 00:00:00' AS proc_eff_ts,
     CAST(l_linenumber % 3 AS DECIMAL(18,4)) AS pcmdty_qty_mult_fct, pur_prc_amt AS purchase_prc_amt, icms_tax_pct,
     prc_disc_pct AS price_discount_pct, {CUSTOMER_ID.format(k='o_custkey')} AS destination_cnpj_fiscal_id,
     dsupp_is_assc_ind + 1 AS SupplierType, CASE WHEN l_linenumber = 7 THEN 'Pending' ELSE 'Bridged-ok' END AS bridge_type,
@@ -215,7 +218,9 @@ buys AS (
     coalesce(f.pcmdty_qty_mult_fct, r.pcmdty_qty_mult_fct) AS pcmdty_qty_mult_fct, purchase_prc_amt AS pur_prc_amt,
     icms_tax_pct, price_discount_pct AS prc_disc_pct, destination_cnpj_fiscal_id AS dest_cnpj_fiscal_id,
     CASE WHEN SupplierType = 2 THEN 1 ELSE 0 END AS dsupp_is_assc_ind, bridge_type AS prod_brdg_stat_cd,
-    origin_whlslr_id AS orig_whlslr_id, period_dt AS period_cd
+    origin_whlslr_id AS orig_whlslr_id, origin_dsupp_prod_cd AS orig_dsupp_prod_cd, icms_tax_amt, discount_amt AS disc_amt,
+    destination_dsupp_prod_cd AS dest_dsupp_prod_cd, destination_dsupp_prod_ean_cd AS dest_dsupp_prod_ean_cd, proc_eff_ts,
+    'b1' AS btch_id, period_dt AS period_cd
   FROM raw_buys r LEFT JOIN provider_factors f ON r.dsupp_proc_id = f.dsupp_proc_id),
 national AS (
   SELECT pcmdty_id, {national_price} AS ppp_prc_amt,

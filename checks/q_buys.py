@@ -15,7 +15,8 @@ P = {"period_from": FIRST, "period_to": LAST}
 BUYS = (
     "line_id:s, dsupp_proc_id:i, trans_dt:s, store_cd:s, orig_cnpj_fiscal_id:s, icms_typ_cd:s, invc_nbr:s,"
     "pcmdty_id:i, units_qty:d, pcmdty_qty_mult_fct:d, pur_prc_amt:d, icms_tax_pct:d, prc_disc_pct:d,"
-    "dest_cnpj_fiscal_id:s, dsupp_is_assc_ind:i, prod_brdg_stat_cd:s, orig_whlslr_id:s, period_cd:s"
+    "dest_cnpj_fiscal_id:s, dsupp_is_assc_ind:i, prod_brdg_stat_cd:s, orig_whlslr_id:s, period_cd:s, orig_dsupp_prod_cd:s, icms_tax_amt:d, disc_amt:d,"
+    "dest_dsupp_prod_cd:s, dest_dsupp_prod_ean_cd:s, proc_eff_ts:s, btch_id:s"
 )
 add("buys_normalise", BUYS, lambda d: d.buys, "SELECT * FROM buys")
 
@@ -31,6 +32,21 @@ add(
        WHERE r = 1""",
 )
 
+add(
+    "qty_factor_merged",
+    "wholesaler_CGC:s, pcmdty_id:i, pcmdty_qty_mult_fct:d",
+    lambda d: buys.qty_factors(
+        buys.merge_qty_factors(
+            buys.merge_qty_factors(
+                buys.qty_factor_state(d.buys.filter("period_cd < '199906'")), d.buys.filter("period_cd >= '200001'")),
+            d.buys.filter("period_cd >= '199906' AND period_cd < '200001'")),  # late lines
+        d.providers),
+    """SELECT w.wholesaler_CGC, t.pcmdty_id, arg_max(t.pcmdty_qty_mult_fct, CAST(t.period_cd AS BIGINT) * 1000 + t.pcmdty_qty_mult_fct) AS pcmdty_qty_mult_fct
+       FROM buys t JOIN (SELECT DISTINCT wholesaler_CGC FROM providers WHERE ppp_dsupp_typ_cd = 'PHARMACY') w
+         ON w.wholesaler_CGC = t.orig_cnpj_fiscal_id
+       WHERE t.dsupp_is_assc_ind = 0 AND t.pcmdty_id > 0 AND t.pcmdty_id < 999999 GROUP BY ALL""",
+)
+
 
 def _provider_list(d):
     return d.provider_view.select(F.col("wholesaler_code").cast("string").alias("dsupp_proc_id"))

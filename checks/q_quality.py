@@ -10,7 +10,7 @@ from checks.registry import add
 from pricemill.functions.periods import months_between_list, months_ending, shift
 from pricemill.operators import buys, corrections, publish, report, rules
 from checks.q_reference import scratch
-from pricemill.sources.files import write_csv, write_lines
+from pricemill.sources.files import numbered, write_chunks, write_csv
 
 P = {"period_from": FIRST, "period_to": LAST}
 CUR = "200107"
@@ -142,26 +142,16 @@ v("rule_non_empty", "n_rows:i", lambda d: rules.too_few_rows(d.states, expected=
 
 def _all_rules(d) -> list[rules.Rule]:
     Rule, natl, geo = rules.Rule, _natl(d), _geo(d)
-    two = {"min_rows": 2}
     return [
-        Rule(3, "CPP exists", "prices of type C in the month", rules.price_feed_rows(d.price_feed, period=CUR, price_type="C"), must_exist=True),
-        Rule(4, "PMC exists", "prices of type M in the month", rules.price_feed_rows(d.price_feed, period=CUR, price_type="M"), must_exist=True),
-        Rule(103, "Bridged", "product ids in range", rules.unbridged_lines(d.buys)),
+        *rules.feed_rules(d.price_feed, period=CUR),
+        *rules.price_rules(natl, geo, **P),
+        rules.row_rule(103, "Bridged", "product ids in range", d.buys, rules.is_unbridged()),
         Rule(110, "CPP threshold", "prices in band", rules.outside_band(natl, d.price_list("D"), d.band, period=CUR)),
         Rule(116, "Duplicate national", "one price per product and month", rules.duplicates(natl, ["pcmdty_id", "period_cd"])),
         Rule(101, "Duplicate product", "one row per product", rules.duplicates(d.products, ["pcmdty_id"])),
         Rule(115, "Coverage", "every product has a price", rules.products_without_price(d.products, natl, **P)),
         Rule(111, "Maximum price", "medicines below L", rules.above_list_price(natl, d.products, d.price_list("L"), carried=False, **P)),
         Rule(108, "Maximum carried price", "carried medicines below L", rules.above_list_price(natl, d.products, d.price_list("L"), carried=True, **P)),
-        Rule(112, "Units", "no negative units", rules.negative_units(geo, **P), **two),
-        Rule(104, "Minimum geo", "step 1 above 0.05", rules.low_prices(geo, **P), **two),
-        Rule(105, "Minimum national", "step 1 above 0.05", rules.low_prices(natl, **P), **two),
-        Rule(117, "Null geo", "no null price", rules.null_prices(geo, **P), **two),
-        Rule(118, "Null national", "no null price", rules.null_prices(natl, **P), **two),
-        Rule(113, "Positive geo", "above 0", rules.low_prices(geo, step=None, at_most=0, **P), **two),
-        Rule(114, "Positive national", "above 0", rules.low_prices(natl, step=None, at_most=0, **P), **two),
-        Rule(106, "Step 2 geo", "above 0", rules.low_prices(geo, step=2, at_most=0, **P), **two),
-        Rule(107, "Step 2 national", "above 0", rules.low_prices(natl, step=2, at_most=0, **P), **two),
         Rule(109, "Duplicate step", "one row per key", rules.duplicates(geo, ["pcmdty_id", "geo_lvl_cd", "period_cd", "step_cd"])),
         Rule(1, "Units kept", "no drop", rules.units_kept(d.sales, period=CUR), must_exist=True),
         Rule(102, "Units exist", "sales in the range", rules.units_present(d.sales, **P), must_exist=True),
@@ -263,19 +253,25 @@ def _full(d):
     return publish.fixed_width_full(d.national, d.products, _packs(d), period=CUR)
 
 
+def _history_cards(d):
+    return publish.fixed_width_history(d.national, d.products, _packs(d), period=CUR)
+
+
 def _chunked(d):
-    path = scratch(d, "z1l")
-    write_lines(_full(d), path, max_lines=publish.CHUNK_LINES)
-    return d.spark.read.text(path).withColumnRenamed("value", "z1l")
+    path = scratch(d, "cards")
+    write_chunks(_history_cards(d), path, max_lines=publish.CHUNK_LINES)
+    return d.spark.read.text(path).withColumnRenamed("value", "pcards")
 
 
-p("export_fixed_width_full", "z1l:s", _full, f"SELECT DISTINCT {Z1L} AS z1l FROM exported WHERE period_cd = '{CUR}'", EXPORT)
-p("export_chunked", "z1l:s", _chunked, f"SELECT DISTINCT {Z1L} AS z1l FROM exported WHERE period_cd = '{CUR}'", EXPORT)
-p("export_fixed_width_hist", "pcards:s",
-  lambda d: publish.fixed_width_history(d.national, d.products, _packs(d), period=CUR),
-  f"""SELECT DISTINCT 'PIMS0000' || repeat('0', greatest(7 - length(pack_cd), 0)) || pack_cd || ' ' || period_cd[5:6] || period_cd[3:4]
+CARDS = """SELECT DISTINCT 'PIMS0000' || repeat('0', greatest(7 - length(pack_cd), 0)) || pack_cd || ' ' || period_cd[5:6] || period_cd[3:4]
         || period_cd[5:6] || period_cd[3:4] || '  ' || repeat('0', greatest(11 - length(c), 0)) || c || repeat(' ', 39) || 'BR' || '  ' AS pcards
-      FROM exported WHERE period_cd BETWEEN '199608' AND '{CUR}'""", EXPORT)
+      FROM exported WHERE period_cd BETWEEN '199608' AND '{}'""".format(CUR)
+p("export_fixed_width_full", "z1l:s", _full, f"SELECT DISTINCT {Z1L} AS z1l FROM exported WHERE period_cd = '{CUR}'", EXPORT)
+p("export_chunked", "pcards:s, chunk:i", _chunked,
+  f"SELECT pcards, (row_number() OVER (ORDER BY pcards) - 1) // {publish.CHUNK_LINES} AS chunk FROM ({CARDS})", EXPORT)
+p("row_numbers", "pcards:s, row_no:i", lambda d: numbered(_history_cards(d), ["pcards"]),
+  f"SELECT pcards, row_number() OVER (ORDER BY pcards) - 1 AS row_no FROM ({CARDS})", EXPORT)
+p("export_fixed_width_hist", "pcards:s", _history_cards, CARDS, EXPORT)
 
 
 def _legacy(d):

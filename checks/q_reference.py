@@ -23,26 +23,49 @@ def scratch(d, name: str) -> str:
 PART = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int"}
 
 
-def _csv_refs(d) -> DataFrame:
-    path = scratch(d, "refs")
-    d.table("part").select(*PART).write.option("header", "true").option("sep", "|").csv(path)
-    return files.typed(files.read_delimited(d.spark, path, columns=list(PART)), PART)
+SUPPLIER = {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"}
+
+
+def _delivery(d) -> dict[str, DataFrame]:
+    """Reference files as they are delivered: a folder of several files for each table."""
+    folder = scratch(d, "refs")
+    for name, schema in (("part", PART), ("supplier", SUPPLIER)):
+        rows = d.table(name).select(*schema).repartitionByRange(3, next(iter(schema)))
+        rows.write.option("header", "true").option("sep", "|").csv(f"{folder}/{name}.csv")
+    return files.read_reference_files(d.spark, folder, {"part": PART, "supplier": SUPPLIER})
 
 
 def _csv_typed(d) -> DataFrame:
     path = scratch(d, "typed")
     d.table("customer").write.option("header", "true").csv(path)
-    schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-    return files.read_typed(d.spark, path, schema=schema)
+    return files.read_typed(d.spark, path)
+
+
+def period_source(d) -> DataFrame:
+    """Raw sales as a source of files by period."""
+    path = scratch(d, "sales")
+    rows = d.raw_sales.select("whs", "fcc", "outlet", "units", "period")
+    rows.repartition("period").sortWithinPartitions("period", "whs").write.partitionBy("period").parquet(path)
+    return d.spark.read.schema(rows.schema).parquet(path)
 
 
-add("src_csv_refs", "p_partkey:i, p_name:s, p_brand:s, p_type:s, p_size:i", _csv_refs, "SELECT * FROM part")
+SALES = ["period", "whs", "fcc", "outlet", "units"]
+TX_SALES = "SELECT period_cd AS period, dsupp_proc_id AS whs, pcmdty_id AS fcc, buyer_otlt_cd AS outlet, units FROM tx"
+
+add("src_csv_refs", "p_partkey:i, p_name:s, p_brand:s, p_type:s, p_size:i", lambda d: _delivery(d)["part"],
+    f"SELECT {', '.join(PART)} FROM part")
+add("src_csv_refs_supplier", "s_suppkey:i, s_name:s, s_nationkey:i, s_acctbal:d", lambda d: _delivery(d)["supplier"],
+    f"SELECT {', '.join(SUPPLIER)} FROM supplier")
 add("src_csv_inferred", "c_custkey:i, c_name:s, c_nationkey:i, c_acctbal:d, c_mktsegment:s", _csv_typed, "SELECT * FROM customer")
 add(
     "src_pushdown_period", "period:s, whs:i, fcc:i, outlet:i, units:i",
-    lambda d: files.load_period(d.raw_sales, "200012", columns=["period", "whs", "fcc", "outlet", "units"]),
-    """SELECT period_cd AS period, dsupp_proc_id AS whs, pcmdty_id AS fcc, buyer_otlt_cd AS outlet, units FROM tx
-       WHERE period_cd = '200012'""",
+    lambda d: files.load_period(period_source(d), "200012", columns=SALES), f"{TX_SALES} WHERE period_cd = '200012'",
+)
+add(
+    "src_pushdown_periods", "period:s, whs:i, fcc:i, outlet:i, units:i",
+    lambda d: files.load_periods(
+        period_source(d), d.price_list("D").filter("prc_amt > 1500").select(F.col("period_cd").alias("period")), columns=SALES),
+    f"{TX_SALES} WHERE period_cd IN (SELECT period_cd FROM list_d WHERE prc_amt > 1500)",
 )
 
 
@@ -62,15 +85,18 @@ add(
        FROM tx t JOIN outlet_view o ON o.outlet_code - 1000000 = t.buyer_otlt_cd WHERE right(o.outlet_type, 1) = '1'
        GROUP BY ALL HAVING sum(units) > 0""",
 )
-RAW = "line_id:s, dsupp_proc_id:s, pcmdty_id:i, purchase_prc_amt:d, src_sys_cd:s, period_dt:s"
+RAW = (
+    "line_id:s, dsupp_proc_id:s, trans_dt:s, store_cd:s, origin_whlslr_id:s, origin_cnpj_fiscal_id:s, icms_typ_cd:s, invc_nbr:s,"
+    "origin_dsupp_prod_cd:s, pcmdty_id:i, units_qty:d, pcmdty_qty_mult_fct:d, purchase_prc_amt:d, icms_tax_pct:d, icms_tax_amt:d,"
+    "price_discount_pct:d, discount_amt:d, destination_cnpj_fiscal_id:s, destination_dsupp_prod_cd:s,"
+    "destination_dsupp_prod_ean_cd:s, SupplierType:i, bridge_type:s, proc_eff_ts:s, src_sys_cd:s, period_dt:s"
+)
 
 
 def _raw_replaced(d) -> DataFrame:
-    """A written table whose last month is replaced by a later delivery."""
-    path = scratch(d, "raw")
-    names = [c.split(":")[0].strip() for c in RAW.split(",")]
-    rows = d.raw_buys.select(*names)
-    write_periods(rows.repartition("period_dt"), path, "period_dt")
+    """A written table, with all its columns, whose last month is replaced by a later delivery."""
+    path, rows = scratch(d, "raw"), d.raw_buys
+    write_periods(rows, path, "period_dt")
     later = rows.filter((F.col("period_dt") == LAST) & (F.col("purchase_prc_amt") > 50000))
     write_period(later.withColumn("src_sys_cd", F.lit("LATE")), path, LAST, "period_dt")
     return d.spark.read.schema(rows.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Grids over short code lists without a cross join.
+"""Grids over code lists without a cross join.
 
 A short dimension (states, months of a range, a one-row parameter table) enters the plan as a scalar
 subquery: Spark evaluates it once, fails if it is not short, and the rows are multiplied by
@@ -34,6 +34,19 @@ def times(df: DataFrame, codes: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(codes).alias(name))
 
 
+def times_all(df: DataFrame, codes: DataFrame, column: str, buckets: int = 16) -> DataFrame:
+    """Repeat every row once per distinct code, however many there are.
+
+    Codes are listed per hash bucket; a row is repeated per bucket, and meets the bucket's codes in an equi-join.
+    """
+    lists = (
+        codes.select(column).distinct().groupBy(F.pmod(F.hash(column), F.lit(buckets)).alias("_bucket"))
+        .agg(F.collect_list(column).alias("_codes"))
+    )
+    repeated = df.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return repeated.join(lists, "_bucket").select(*df.columns, F.explode("_codes").alias(column))
+
+
 def times_geos(df: DataFrame, states: DataFrame, state_column: str = "state_abbrev") -> DataFrame:
     """Repeat every row once per state and channel, as ``geo_lvl_cd``."""
     channels = F.array(*[F.lit(c) for c in CHANNELS])

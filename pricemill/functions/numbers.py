@@ -12,7 +12,7 @@ from pricemill.functions.periods import col_of
 
 PRICE = "decimal(18,4)"
 MEAN = "decimal(22,8)"
-UNITS = "decimal(12,0)"
+UNITS = "decimal(15,0)"  # the widest whose product with a mean keeps all eight decimals
 
 
 def price(value: Column | str) -> Column:

@@ -83,23 +83,39 @@ def is_bridged() -> Column:
     return (F.col("pcmdty_id") > 0) & (F.col("pcmdty_id") < UNKNOWN_PRODUCT)
 
 
-def latest_qty_factor(
-    buys: DataFrame, dim_provider: DataFrame, provider_class: str = "PHARMACY"
-) -> DataFrame:
-    """Most recent quantity factor per selling provider and product (largest on a tie)."""
+FACTOR_KEY = ["orig_cnpj_fiscal_id", "pcmdty_id"]
+
+
+def qty_factor_state(lines: DataFrame) -> DataFrame:
+    """Per seller and product the latest month with its quantity factor (the largest on a tie)."""
+    own = lines.filter((F.col("dsupp_is_assc_ind") == 0) & is_bridged())
+    return own.groupBy(*FACTOR_KEY).agg(F.max(F.struct("period_cd", "pcmdty_qty_mult_fct")).alias("latest"))
+
+
+def merge_qty_factors(state: DataFrame, lines: DataFrame) -> DataFrame:
+    """The state after further lines: only those are read, whatever the history, and they may be late ones."""
+    both = state.select(*FACTOR_KEY, "latest").unionByName(qty_factor_state(lines))
+    return both.groupBy(*FACTOR_KEY).agg(F.max("latest").alias("latest"))
+
+
+def qty_factors(state: DataFrame, dim_provider: DataFrame, provider_class: str = "PHARMACY") -> DataFrame:
+    """The state's factors of selling providers of a class."""
     sellers = (
         dim_provider.filter(F.col("ppp_dsupp_typ_cd") == provider_class)
         .select("wholesaler_CGC").distinct()
     )
-    lines = buys.filter((F.col("dsupp_is_assc_ind") == 0) & is_bridged())
-    return (
-        lines.join(sellers, lines["orig_cnpj_fiscal_id"] == sellers["wholesaler_CGC"], "inner")
-        .groupBy("wholesaler_CGC", "pcmdty_id")
-        .agg(F.max(F.struct("period_cd", "pcmdty_qty_mult_fct"))["pcmdty_qty_mult_fct"].alias(
-            "pcmdty_qty_mult_fct"))
+    return state.join(sellers, state["orig_cnpj_fiscal_id"] == sellers["wholesaler_CGC"], "inner").select(
+        "wholesaler_CGC", "pcmdty_id", F.col("latest")["pcmdty_qty_mult_fct"].alias("pcmdty_qty_mult_fct")
     )
 
 
+def latest_qty_factor(
+    buys: DataFrame, dim_provider: DataFrame, provider_class: str = "PHARMACY"
+) -> DataFrame:
+    """Most recent quantity factor per selling provider and product (largest on a tie)."""
+    return qty_factors(qty_factor_state(buys), dim_provider, provider_class)
+
+
 def impute_missing_providers(raw: DataFrame, provider_list: DataFrame, *, period: str) -> DataFrame:
     """Lines for listed providers that delivered nothing this month: last month's, re-dated."""
     delivered = raw.filter(F.col("period_dt") == period).select("dsupp_proc_id").distinct()

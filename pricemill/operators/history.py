@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pricemill.functions.bounded import code_list, times
+from pricemill.functions.bounded import times_all
 from pricemill.functions.numbers import dbl, price, price_from_double
 from pricemill.functions.periods import (
     in_range,
@@ -17,7 +17,7 @@ from pricemill.functions.periods import (
     shift,
     with_months,
 )
-from pricemill.functions.tables import update_join
+from pricemill.functions.tables import delete_join, update_join
 from pricemill.operators.buys import flag
 
 CARRIED_STEPS = (1, 2, 50, 51)
@@ -100,8 +100,8 @@ def backfill_geo(copies: DataFrame, geo: DataFrame, *, latest_product_only: bool
     ids = copies.select("pcmdty_id").distinct()
     if latest_product_only:
         ids = ids.agg(F.max("pcmdty_id").alias("pcmdty_id"))
-    geos = code_list(geo.join(ids, "pcmdty_id", "left_semi"), "geo_lvl_cd")
-    return times(copies, geos, "geo_lvl_cd").select(
+    geos = geo.join(ids, "pcmdty_id", "left_semi").select("geo_lvl_cd")
+    return times_all(copies, geos, "geo_lvl_cd").select(
         "pcmdty_id", "geo_lvl_cd", "ppp_prc_amt", F.lit(0).cast("decimal(22,0)").alias("wgt_units_qty"),
         "step_cd", F.lit(0).cast("decimal(22,0)").alias("sales_units_qty"), "period_cd",
     )
@@ -161,21 +161,10 @@ def history_changes(
     )
 
 
-def rewrite_history(
-    national: DataFrame,
-    geo: DataFrame,
-    products: DataFrame,
-    list_l: DataFrame,
-    *,
-    period: str,
-    min_period: str = "202101",
-    max_change: float = 0.15,
+def _new_prices(
+    national: DataFrame, geo: DataFrame, products: DataFrame, list_l: DataFrame, *, period: str, min_period: str, max_change: float
 ) -> DataFrame:
-    """New prices (step 52) for the months between the last and the current real price.
-
-    Others take the current price; medicines keep the current distance to their L price.  A medicine
-    month without an L price has no computable price and is left as it is.
-    """
+    """The months to rewrite with ``new_price``, which is null where none can be computed."""
     current = current_real_prices(national, geo, list_l, period=period)
     last_real = last_real_month(geo, current, period=period, min_period=min_period)
     months = history_changes(national, last_real, period=period, max_change=max_change)
@@ -192,8 +181,45 @@ def rewrite_history(
         .join(current, "pcmdty_id", "inner")
         .join(products.select("pcmdty_id", "pck_is_medcn_ind"), "pcmdty_id", "inner")
         .join(lists, ["pcmdty_id", "period_cd"], "left")
-        .select("pcmdty_id", "period_cd", new_price.alias("ppp_prc_amt"), F.lit(52).alias("step_cd"))
-        .filter(F.col("ppp_prc_amt").isNotNull())
+        .select("pcmdty_id", "period_cd", "step_cd", "ppp_prc_amt", "cur_prc", new_price.alias("new_price"))
+    )
+
+
+def rewrite_history(
+    national: DataFrame,
+    geo: DataFrame,
+    products: DataFrame,
+    list_l: DataFrame,
+    *,
+    period: str,
+    min_period: str,
+    max_change: float = 0.15,
+) -> DataFrame:
+    """New prices (step 52) for the months from ``min_period`` on, between the last and the current real price.
+
+    Others take the current price; medicines keep the current distance to their L price.  A medicine
+    month without an L price has no computable price and is left as it is (``rewrite_skipped``).
+    """
+    found = _new_prices(national, geo, products, list_l, period=period, min_period=min_period, max_change=max_change)
+    return found.filter(F.col("new_price").isNotNull()).select(
+        "pcmdty_id", "period_cd", F.col("new_price").alias("ppp_prc_amt"), F.lit(52).alias("step_cd")
+    )
+
+
+def rewrite_skipped(
+    national: DataFrame,
+    geo: DataFrame,
+    products: DataFrame,
+    list_l: DataFrame,
+    *,
+    period: str,
+    min_period: str,
+    max_change: float = 0.15,
+) -> DataFrame:
+    """Months that ``rewrite_history`` leaves as they are, as no new price can be computed for them."""
+    found = _new_prices(national, geo, products, list_l, period=period, min_period=min_period, max_change=max_change)
+    return found.filter(F.col("new_price").isNull()).select(
+        "pcmdty_id", "period_cd", "step_cd", "ppp_prc_amt", "cur_prc", F.lit(period).alias("prod_period_cd")
     )
 
 
@@ -208,7 +234,7 @@ def rewrite_audit(
     list_l: DataFrame,
     *,
     period: str,
-    min_period: str = "202101",
+    min_period: str,
     max_change: float = 0.15,
 ) -> DataFrame:
     """What was not rewritten: manual prices without units (type 1) and big changes (type 2)."""
@@ -235,3 +261,33 @@ def rewrite_audit(
     return manual.select(*log("1", F.lit(None).cast("decimal(18,4)"))).unionByName(
         jumps.select(*log("2", F.col("prev_price")))
     )
+
+
+# ---- the journal: what earlier months were before a run changed them ------------------------------------------------
+
+PRODUCT_MONTH = ["pcmdty_id", "period_cd"]
+
+
+def before_images(table: DataFrame, changed: DataFrame, *, name: str, run: str) -> DataFrame:
+    """All rows that ``table`` has now for the changed (product, month) pairs, and a row that marks each pair.
+
+    Columns: those of ``table``, ``existed`` (0 for the mark), ``table_nm`` and ``run_cd``.
+    """
+    pairs = changed.select(*PRODUCT_MONTH).distinct()
+    rows = table.join(pairs, PRODUCT_MONTH, "left_semi").withColumn("existed", F.lit(1))
+    marks = pairs.withColumn("existed", F.lit(0))
+    return rows.unionByName(marks, allowMissingColumns=True).withColumns(
+        {"table_nm": F.lit(name), "run_cd": F.lit(run)}
+    )
+
+
+def first_images(journal: DataFrame) -> DataFrame:
+    """Of each (product, month), the images of the earliest run: what it was before any of the runs."""
+    first = journal.groupBy(*PRODUCT_MONTH).agg(F.min("run_cd").alias("run_cd"))
+    return journal.join(first, [*PRODUCT_MONTH, "run_cd"], "left_semi")
+
+
+def undo(table: DataFrame, images: DataFrame) -> DataFrame:
+    """The table as it was: pairs in ``images`` get their old rows back, and lose them where they had none."""
+    kept = delete_join(table, images.filter("existed = 0"), PRODUCT_MONTH)
+    return kept.unionByName(images.filter("existed = 1").select(*table.columns))

@@ -40,7 +40,7 @@ def provider_priority(tax_calc: DataFrame) -> DataFrame:
     return direct.unionByName(relayed.join(covered, same_key, "left_anti"))
 
 
-def price_band_filter(
+def with_band(
     df: DataFrame,
     list_d: DataFrame,
     band: DataFrame,
@@ -48,9 +48,9 @@ def price_band_filter(
     month_shift: int = -1,
     min_list: float = MIN_PRICE,
 ) -> DataFrame:
-    """Keep lines strictly inside (D * min %, D * max %) of an earlier month's D price.
+    """Lines with ``_in_band``: strictly inside (D * min %, D * max %) of an earlier month's D price, or without a usable one.
 
-    Lines without a usable D price are kept.  The list is shifted instead of the lines.
+    The list is shifted instead of the lines.
     """
     lists = list_d.select(
         "pcmdty_id",
@@ -65,7 +65,23 @@ def price_band_filter(
     )
     percent = F.col("ppp_prc_amt") * 100
     inside = (percent > F.col("_list") * F.col("_min")) & (percent < F.col("_list") * F.col("_max"))
-    return joined.filter((F.col("_list") <= F.lit(min_list)) | inside).select(*df.columns)
+    return joined.select(*df.columns, ((F.col("_list") <= F.lit(min_list)) | inside).alias("_in_band"))
+
+
+def price_band_filter(
+    df: DataFrame,
+    list_d: DataFrame,
+    band: DataFrame,
+    *,
+    month_shift: int = -1,
+    min_list: float = MIN_PRICE,
+) -> DataFrame:
+    """Keep lines strictly inside (D * min %, D * max %) of an earlier month's D price.
+
+    Lines without a usable D price are kept.
+    """
+    banded = with_band(df, list_d, band, month_shift=month_shift, min_list=min_list)
+    return banded.filter("_in_band").select(*df.columns)
 
 
 def groups_with_min_rows(df: DataFrame, keys: list[str] = CHANNEL_MONTH, n: int = 5) -> DataFrame:

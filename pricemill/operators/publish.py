@@ -12,6 +12,7 @@ SPECIAL_CLASS = "Z98A2"
 EXCLUDED_MANUFACTURERS = ("4581", "4580")
 REAL_STEPS = (1, 50, 51)
 CHUNK_LINES = 29_500
+PRICE_WIDTH = 8  # digits of the price in a line of the full export
 
 
 def _month_start(period: str) -> Column:
@@ -98,7 +99,7 @@ def fixed_width_full(
     """One 80-character line per pack for the month."""
     line = F.concat(
         zero_padded(F.col("pack_cd"), 7), _blanks(1), F.lit("Z1L"), _blanks(51),
-        zero_padded(F.col("cents"), 8), _blanks(6), F.lit("BR"), _blanks(2),
+        zero_padded(F.col("cents"), PRICE_WIDTH), _blanks(6), F.lit("BR"), _blanks(2),
     )
     rows = _exported(national, products, packs, periods=[period], any_case=True)
     return rows.select(line.alias("z1l")).distinct().filter(F.col("z1l").isNotNull())

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricemill.functions.numbers import MEAN, PRICE, dbl, mean
 from pricemill.functions.periods import in_range, months_between_list, months_ending, shift
 from pricemill.functions.quantiles import group_quantiles
 from pricemill.operators.buys import flag
-from pricemill.operators.outliers import price_band_filter, provider_priority
+from pricemill.operators.outliers import with_band
 
 FUNNEL = ("layout", "bridged", "mapped", "tax", "dupp", "cpp", "out")
 PRIORITY_REVENUE = 10_000
@@ -35,19 +35,15 @@ def qc_funnel(
         return df.filter(F.col("period_cd") == period)
 
     raw = month(buys).join(products.select("pcmdty_id", "pck_is_medcn_ind"), "pcmdty_id", "inner")
-    taxed = month(tax_calc)
-    ranked = provider_priority(taxed)
-    stages = {
-        "mapped": month(filtered), "tax": taxed, "dupp": ranked,
-        "cpp": price_band_filter(ranked, list_d, band), "out": month(clean),
-    }
     # Raw lines give two stages in one pass; every stage is counted before it is combined.
     bridged = F.sum(flag(F.col("prod_brdg_stat_cd") == "Bridged-ok"))
     first = raw.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("layout"), F.when(bridged > 0, bridged).alias("bridged")
     )
     later = [
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)) for name, df in stages.items()
+        month(filtered).groupBy(*keys).agg(F.count(F.lit(1)).alias("mapped")),
+        _taxed_stages(month(tax_calc), list_d, band, keys),
+        month(clean).groupBy(*keys).agg(F.count(F.lit(1)).alias("out")),
     ]
     counts = reduce(lambda a, b: a.join(b, keys, "left"), later, first)
     provider = providers.select(
@@ -64,6 +60,25 @@ def qc_funnel(
     )
 
 
+def _taxed_stages(taxed: DataFrame, list_d: DataFrame, band: DataFrame, keys: list[str]) -> DataFrame:
+    """Taxed lines, those left by the provider priority and those of them in band, from one reading of the lines.
+
+    Lines are counted per purchase, provider and stage before they are shuffled.  The priority looks at these counts: a
+    purchase (buyer, product, day) has at most two per provider, whatever its lines.
+    """
+    purchase = ["buyer_otlt_cd", "pcmdty_id", "trans_dt"]
+    counted = (
+        with_band(taxed, list_d, band).groupBy(*purchase, *keys, "dsupp_is_distr_ind")
+        .agg(F.count(F.lit(1)).alias("_lines"), F.sum(flag(F.col("_in_band"))).alias("_banded"))
+        .withColumn("_first", F.min("dsupp_is_distr_ind").over(Window.partitionBy(*purchase)))
+    )
+    ranked = F.col("dsupp_is_distr_ind") == F.col("_first")
+    dupp, cpp = F.sum(F.when(ranked, F.col("_lines"))), F.sum(F.when(ranked, F.col("_banded")))
+    return counted.groupBy(*keys).agg(
+        F.sum("_lines").alias("tax"), dupp.alias("dupp"), F.when(cpp > 0, cpp).alias("cpp")
+    )
+
+
 def reference_price(clean: DataFrame, *, period: str) -> DataFrame:
     """Mean over providers of their median price, per product."""
     medians = group_quantiles(

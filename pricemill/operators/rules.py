@@ -17,35 +17,53 @@ from pricemill.operators.buys import MIN_PRICE, UNKNOWN_PRODUCT
 class Rule:
     """``rows`` are violations, or with ``must_exist`` the rows whose absence is the violation.
 
-    ``min_rows`` is the number of rows from which the condition counts as met.
+    ``min_rows`` is the number of rows from which the condition counts as met.  A rule on single rows has ``table``
+    and ``condition`` in place of ``rows`` (``row_rule``).
     """
 
     number: int
     name: str
     description: str
-    rows: DataFrame
+    rows: DataFrame | None = None
     must_exist: bool = False
     min_rows: int = 1
+    table: DataFrame | None = None
+    condition: Column | None = None
+
+
+def row_rule(
+    number: int, name: str, description: str, table: DataFrame, condition: Column, *, must_exist: bool = False, min_rows: int = 1
+) -> Rule:
+    return Rule(number, name, description, None, must_exist, min_rows, table, condition)
 
 
 def evaluate(rules: list[Rule], *, period: str, executed_at: str) -> DataFrame:
-    """One result row per rule; a rule stops reading once it has seen ``min_rows`` rows."""
-
-    def result(rule: Rule) -> DataFrame:
-        met = F.count(F.lit(1)) >= rule.min_rows
-        passed = met if rule.must_exist else ~met
-        return (
-            rule.rows.select(F.lit(1))
-            .limit(rule.min_rows)
-            .agg(F.when(passed, "PASSED").otherwise("FAILED").alias("result_cd"))
-            .select(
-                F.lit(rule.name).alias("rule_name"), F.lit(rule.description).alias("rule_desc"),
-                F.lit(rule.number).alias("rule_number"), F.lit(executed_at).alias("exec_timestamp"),
-                F.lit(period).alias("period_cd"), "result_cd",
-            )
+    """One result row per rule.
+
+    All rules on single rows of a table are counted in one scan of it.  A rule with rows of its own (duplicates, coverage,
+    comparisons) stops reading once it has seen ``min_rows`` of them.
+    """
+
+    def result(rule: Rule, count: Column) -> Column:
+        met = count >= rule.min_rows
+        return F.struct(
+            F.lit(rule.name).alias("rule_name"), F.lit(rule.description).alias("rule_desc"),
+            F.lit(rule.number).alias("rule_number"), F.lit(executed_at).alias("exec_timestamp"),
+            F.lit(period).alias("period_cd"),
+            F.when(met if rule.must_exist else ~met, "PASSED").otherwise("FAILED").alias("result_cd"),
         )
 
-    return reduce(DataFrame.unionByName, [result(rule) for rule in rules])
+    tables = list({id(rule.table): rule.table for rule in rules if rule.table is not None}.values())
+    results = []
+    for table in tables:
+        own = [rule for rule in rules if rule.table is table]
+        counts = table.agg(*[F.count_if(rule.condition).alias(f"_{rule.number}") for rule in own])
+        results.append(counts.select(F.inline(F.array(*[result(rule, F.col(f"_{rule.number}")) for rule in own]))))
+    for rule in rules:
+        if rule.rows is not None:
+            seen = rule.rows.select(F.lit(1)).limit(rule.min_rows).agg(F.count(F.lit(1)).alias("_n"))
+            results.append(seen.select(F.inline(F.array(result(rule, F.col("_n"))))))
+    return reduce(DataFrame.unionByName, results)
 
 
 def assert_passed(results: DataFrame) -> None:
@@ -58,15 +76,22 @@ def _groups(df: DataFrame, keys: list[str], more_than: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > more_than)
 
 
-def price_feed_rows(feed: DataFrame, *, period: str, price_type: str) -> DataFrame:
+def is_fed(*, period: str, price_type: str) -> Column:
     """Rules 3 and 4: prices of a type must exist for the month."""
-    month = F.substring("price_date", 1, 6) == period
-    return _groups(feed.filter(month & (F.col("price_type") == price_type)), ["price_type"], 0)
+    return (F.substring("price_date", 1, 6) == period) & (F.col("price_type") == price_type)
 
 
-def unbridged_lines(buys: DataFrame) -> DataFrame:
+def price_feed_rows(feed: DataFrame, *, period: str, price_type: str) -> DataFrame:
+    return _groups(feed.filter(is_fed(period=period, price_type=price_type)), ["price_type"], 0)
+
+
+def is_unbridged() -> Column:
     """Rule 103: product ids outside the valid range."""
-    return buys.filter((F.col("pcmdty_id") < 0) | (F.col("pcmdty_id") > UNKNOWN_PRODUCT))
+    return (F.col("pcmdty_id") < 0) | (F.col("pcmdty_id") > UNKNOWN_PRODUCT)
+
+
+def unbridged_lines(buys: DataFrame) -> DataFrame:
+    return buys.filter(is_unbridged())
 
 
 def outside_band(
@@ -125,22 +150,60 @@ def above_list_price(
     )
 
 
-def negative_units(geo: DataFrame, *, period_from: str, period_to: str) -> DataFrame:
+def has_negative_units(*, period_from: str, period_to: str) -> Column:
     """Rule 112."""
-    return geo.filter(in_range(period_from, period_to) & (F.col("sales_units_qty") < 0))
+    return in_range(period_from, period_to) & (F.col("sales_units_qty") < 0)
+
+
+def negative_units(geo: DataFrame, *, period_from: str, period_to: str) -> DataFrame:
+    return geo.filter(has_negative_units(period_from=period_from, period_to=period_to))
+
+
+def is_low_price(*, period_from: str, period_to: str, step: int | None = 1, at_most: float = MIN_PRICE) -> Column:
+    """Rules 104, 105 (step 1, 0.05), 113, 114 (any step, 0), 106 and 107 (step 2, 0)."""
+    low = in_range(period_from, period_to) & (F.col("ppp_prc_amt") <= F.lit(at_most))
+    return low if step is None else low & (F.col("step_cd") == step)
 
 
 def low_prices(
     table: DataFrame, *, period_from: str, period_to: str, step: int | None = 1, at_most: float = MIN_PRICE
 ) -> DataFrame:
-    """Rules 104, 105 (step 1, 0.05), 113, 114 (any step, 0), 106 and 107 (step 2, 0)."""
-    rows = table.filter(in_range(period_from, period_to) & (F.col("ppp_prc_amt") <= F.lit(at_most)))
-    return rows if step is None else rows.filter(F.col("step_cd") == step)
+    return table.filter(is_low_price(period_from=period_from, period_to=period_to, step=step, at_most=at_most))
 
 
-def null_prices(table: DataFrame, *, period_from: str, period_to: str) -> DataFrame:
+def is_null_price(*, period_from: str, period_to: str) -> Column:
     """Rules 117 and 118."""
-    return table.filter(in_range(period_from, period_to) & F.col("ppp_prc_amt").isNull())
+    return in_range(period_from, period_to) & F.col("ppp_prc_amt").isNull()
+
+
+def null_prices(table: DataFrame, *, period_from: str, period_to: str) -> DataFrame:
+    return table.filter(is_null_price(period_from=period_from, period_to=period_to))
+
+
+def price_rules(national: DataFrame, geo: DataFrame, *, period_from: str, period_to: str) -> list[Rule]:
+    """The rules on single rows of the two price tables."""
+    months, zero = {"period_from": period_from, "period_to": period_to}, {"at_most": 0}
+    units, null = has_negative_units(**months), is_null_price(**months)
+    least, positive = is_low_price(**months), is_low_price(step=None, **zero, **months)
+    carried = is_low_price(step=2, **zero, **months)
+    return [
+        row_rule(112, "Units", "no negative units", geo, units, min_rows=2),
+        row_rule(104, "Minimum geo", "step 1 above 0.05", geo, least, min_rows=2),
+        row_rule(105, "Minimum national", "step 1 above 0.05", national, least, min_rows=2),
+        row_rule(117, "Null geo", "no null price", geo, null, min_rows=2),
+        row_rule(118, "Null national", "no null price", national, null, min_rows=2),
+        row_rule(113, "Positive geo", "above 0", geo, positive, min_rows=2),
+        row_rule(114, "Positive national", "above 0", national, positive, min_rows=2),
+        row_rule(106, "Step 2 geo", "above 0", geo, carried, min_rows=2),
+        row_rule(107, "Step 2 national", "above 0", national, carried, min_rows=2),
+    ]
+
+
+def feed_rules(feed: DataFrame, *, period: str) -> list[Rule]:
+    return [
+        row_rule(3, "CPP exists", "prices of type C in the month", feed, is_fed(period=period, price_type="C"), must_exist=True),
+        row_rule(4, "PMC exists", "prices of type M in the month", feed, is_fed(period=period, price_type="M"), must_exist=True),
+    ]
 
 
 def units_kept(sales: DataFrame, *, period: str, tolerance: str = "1.4") -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricemill.functions import periods, tables
-from pricemill.functions.bounded import code_list, one_value, times
+from pricemill.functions.bounded import code_list, one_value, times, times_all
 from pricemill.functions.numbers import cents, price_from_double, weighted_mean
 from pricemill.functions.quantiles import group_quantiles
 
@@ -68,6 +68,20 @@ def test_bounded_lists_refuse_long_ones(spark):
         df.select(one_value(codes, "c")).collect()
 
 
+def test_codes_of_the_data_may_be_many(spark):
+    codes = spark.range(1001).selectExpr("concat('g', id) AS c").unionByName(spark.createDataFrame([("g0",)], "c string"))
+    grid = times_all(spark.range(3), codes, "c")
+    assert grid.count() == grid.distinct().count() == 3 * 1001
+    assert times_all(spark.range(3), codes.limit(0), "c").count() == 0
+    assert "NestedLoop" not in grid._jdf.queryExecution().executedPlan().toString()
+
+
+def test_weights_above_a_trillion(spark):
+    rows = [(Decimal("10.5"), Decimal(10**13)), (Decimal("20.5"), Decimal(3 * 10**13))]
+    df = spark.createDataFrame(rows, "p decimal(18,4), w decimal(22,0)")
+    assert df.agg(weighted_mean("p", "w").alias("m")).first().m == Decimal("18")
+
+
 def test_quantiles_against_brute_force(spark):
     """Group 0 holds a third of all rows; group 3 is made of copies of two values."""
     rng = random.Random(1)
