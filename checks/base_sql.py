@@ -127,16 +127,17 @@ outlet_view AS (
   SELECT s_suppkey + 1001000000, '32', {SUPPLIER_ID.format(k='s_suppkey')}, 'R',
     CASE WHEN s_suppkey % 3 = 0 THEN 'T' ELSE 'B7' END, CAST(s_nationkey AS VARCHAR), {state('s_nationkey')}
   FROM supplier),
+-- fixed values: the classes of fiscal activity codes
+activity_class (code, class) AS (
+  VALUES ('A2', 'PHARMACY'), ('FA', 'PHARMACY'), ('FN', 'PHARMACY'), ('FW', 'PHARMACY'), ('J', 'PHARMACY'),
+    ('T', 'MANUFACTURER'), ('B6', 'WHOLESALER'), ('B7', 'WHOLESALER')),
 outlets AS (
   SELECT outlet_code - 1000000 AS outlet_code, outlet_type, cnpj AS cnpj_cd, cnpj[1:8] AS cnpj_root_cd,
     'T' || other4 AS outlet_new_type_code, CASE WHEN other4 = 'I' THEN 0 ELSE 1 END AS is_otlt_chain_ind,
-    outlet_fiscal_activity_code AS fisc_actvty_cd,
-    CASE WHEN outlet_fiscal_activity_code IN ('FN','A2','T','FA','FW','B6','B7','J') THEN 1 ELSE 0 END AS ppp_incl_calc_ind,
-    CASE WHEN outlet_fiscal_activity_code IN ('FN','A2','FA','FW','J') THEN 'PHARMACY'
-         WHEN outlet_fiscal_activity_code = 'T' THEN 'MANUFACTURER'
-         WHEN outlet_fiscal_activity_code IN ('B6','B7') THEN 'WHOLESALER' ELSE 'OUTROS' END AS ppp_fisc_actvty_class_cd,
+    outlet_fiscal_activity_code AS fisc_actvty_cd, CAST(class IS NOT NULL AS INT) AS ppp_incl_calc_ind,
+    coalesce(class, 'OUTROS') AS ppp_fisc_actvty_class_cd,
     st_shrt_nm AS st_cd, CASE WHEN cnpj[1:2] = 'BN' AND outlet_type = '41' THEN 1 ELSE 0 END AS is_otlt_delivery_ind
-  FROM outlet_view),
+  FROM outlet_view LEFT JOIN activity_class ON activity_class.code = outlet_fiscal_activity_code),
 states AS (SELECT {state('n_nationkey')} AS state_abbrev FROM nation),
 provider_view AS (
   SELECT CAST(s_suppkey AS INT) AS wholesaler_code,
@@ -149,8 +150,9 @@ provider_view AS (
   FROM supplier),
 providers AS (
   SELECT wholesaler_code, wholesaler_CGC, wholesaler_type, distribution_center, flag1, flag2, flag4, flag5,
-    CASE WHEN nullif(flag1, ' ') IS NOT NULL OR flag2 = 'D' OR flag5 = 'F' THEN 'PHARMACY'
-         WHEN flag4 = 'W' THEN 'WHOLESALER' ELSE 'N/C' END AS ppp_dsupp_typ_cd,
+    -- fixed values: what the first flag that is set says of a provider
+    coalesce((['PHARMACY', 'PHARMACY', 'PHARMACY', 'WHOLESALER'])[list_position([flag5 = 'F', flag2 = 'D', flag1 <> ' ', flag4 = 'W'], true)],
+      'N/C') AS ppp_dsupp_typ_cd,
     CASE WHEN flag2 = 'D' THEN 1 ELSE 0 END AS is_whs_dlvry_ind, oac_nm
   FROM provider_view WHERE wholesaler_code NOT IN (260, 261, 1261)),
 months AS (

@@ -20,16 +20,15 @@ BUYS = (
 )
 add("buys_normalise", BUYS, lambda d: d.buys, "SELECT * FROM buys")
 
+LATEST_FACTORS = """
+  SELECT orig_cnpj_fiscal_id AS wholesaler_CGC, pcmdty_id, max({'month': period_cd, 'factor': pcmdty_qty_mult_fct}).factor AS pcmdty_qty_mult_fct
+  FROM buys SEMI JOIN (SELECT wholesaler_CGC AS orig_cnpj_fiscal_id FROM providers WHERE ppp_dsupp_typ_cd = 'PHARMACY') USING (orig_cnpj_fiscal_id)
+  WHERE dsupp_is_assc_ind = 0 AND pcmdty_id BETWEEN 1 AND 999998 GROUP BY ALL"""
 add(
     "qty_factor_latest",
     "wholesaler_CGC:s, pcmdty_id:i, pcmdty_qty_mult_fct:d",
     lambda d: buys.latest_qty_factor(d.buys, d.providers),
-    """SELECT wholesaler_CGC, pcmdty_id, pcmdty_qty_mult_fct FROM (
-         SELECT DISTINCT w.wholesaler_CGC, pcmdty_id, pcmdty_qty_mult_fct, period_cd,
-           rank() OVER (PARTITION BY w.wholesaler_CGC, pcmdty_id ORDER BY period_cd DESC, pcmdty_qty_mult_fct DESC) AS r
-         FROM buys t JOIN providers w ON w.wholesaler_CGC = t.orig_cnpj_fiscal_id
-         WHERE dsupp_is_assc_ind = 0 AND w.ppp_dsupp_typ_cd = 'PHARMACY' AND pcmdty_id > 0 AND pcmdty_id < 999999)
-       WHERE r = 1""",
+    LATEST_FACTORS,
 )
 
 add(
@@ -41,10 +40,7 @@ add(
                 buys.qty_factor_state(d.buys.filter("period_cd < '199906'")), d.buys.filter("period_cd >= '200001'")),
             d.buys.filter("period_cd >= '199906' AND period_cd < '200001'")),  # late lines
         d.providers),
-    """SELECT w.wholesaler_CGC, t.pcmdty_id, arg_max(t.pcmdty_qty_mult_fct, CAST(t.period_cd AS BIGINT) * 1000 + t.pcmdty_qty_mult_fct) AS pcmdty_qty_mult_fct
-       FROM buys t JOIN (SELECT DISTINCT wholesaler_CGC FROM providers WHERE ppp_dsupp_typ_cd = 'PHARMACY') w
-         ON w.wholesaler_CGC = t.orig_cnpj_fiscal_id
-       WHERE t.dsupp_is_assc_ind = 0 AND t.pcmdty_id > 0 AND t.pcmdty_id < 999999 GROUP BY ALL""",
+    LATEST_FACTORS,
 )
 
 
@@ -67,29 +63,25 @@ add(
                          AND c.dsupp_proc_id = r.dsupp_proc_id)""",
 )
 
-RESOLVED_CTES = """
-factors AS (
-  SELECT wholesaler_CGC, pcmdty_id, pcmdty_qty_mult_fct FROM (
-    SELECT w.wholesaler_CGC, pcmdty_id, pcmdty_qty_mult_fct,
-      row_number() OVER (PARTITION BY w.wholesaler_CGC, pcmdty_id ORDER BY period_cd DESC, pcmdty_qty_mult_fct DESC) AS r
-    FROM buys t JOIN providers w ON w.wholesaler_CGC = t.orig_cnpj_fiscal_id
-    WHERE dsupp_is_assc_ind = 0 AND w.ppp_dsupp_typ_cd = 'PHARMACY') WHERE r = 1),
+# Whose tax id buys and sells, by the part that the reporting provider plays; 'own' is the provider itself.
+RESOLVED_CTES = f"""
+part_played (played, buys_as, sells_as, is_distr) AS (
+  VALUES ('association', 'dest', 'orig', 0), ('PHARMACY', 'own', 'orig', 0), ('WHOLESALER', 'orig', 'own', 1), ('N/C', 'orig', 'orig', 1)),
+tax_id AS (SELECT cnpj_cd AS id, outlet_code FROM outlets),
+reported AS (
+  SELECT b.*, p.ppp_dsupp_typ_cd, pck_is_medcn_ind, CASE dsupp_is_assc_ind WHEN 1 THEN 'association' ELSE p.ppp_dsupp_typ_cd END AS played,
+    map {{'dest': dest_cnpj_fiscal_id, 'orig': orig_cnpj_fiscal_id, 'own': p.wholesaler_CGC}} AS ids
+  FROM buys b JOIN providers p ON p.wholesaler_code = b.dsupp_proc_id JOIN products USING (pcmdty_id) WHERE b.pcmdty_id BETWEEN 1 AND 999998),
+seller_factor AS (SELECT wholesaler_CGC AS orig_cnpj_fiscal_id, pcmdty_id, 1 AS dsupp_is_assc_ind, pcmdty_qty_mult_fct AS seller_factor FROM ({LATEST_FACTORS})),
 resolved AS (
-  SELECT line_id, dsupp_proc_id, trans_dt, icms_typ_cd, t.pcmdty_id,
-    CASE WHEN t.pcmdty_qty_mult_fct = 0 THEN 1 ELSE t.pcmdty_qty_mult_fct END AS pcmdty_qty_mult_fct,
-    CASE WHEN sq.pcmdty_qty_mult_fct = 0 THEN 1 ELSE sq.pcmdty_qty_mult_fct END AS seller_qty_mult_fct,
-    pur_prc_amt, icms_tax_pct, prc_disc_pct,
-    CASE WHEN dsupp_is_assc_ind = 1 THEN dst.outlet_code WHEN w.ppp_dsupp_typ_cd = 'PHARMACY' THEN own.outlet_code
-         ELSE org.outlet_code END AS buyer_otlt_cd,
-    CASE WHEN dsupp_is_assc_ind = 1 THEN org.outlet_code WHEN w.ppp_dsupp_typ_cd = 'WHOLESALER' THEN own.outlet_code
-         ELSE org.outlet_code END AS seller_otlt_cd,
-    dsupp_is_assc_ind, prod.pck_is_medcn_ind, w.ppp_dsupp_typ_cd,
-    CASE WHEN w.ppp_dsupp_typ_cd = 'PHARMACY' OR dsupp_is_assc_ind = 1 THEN 0 ELSE 1 END AS dsupp_is_distr_ind, period_cd
-  FROM buys t JOIN products prod ON prod.pcmdty_id = t.pcmdty_id JOIN providers w ON w.wholesaler_code = t.dsupp_proc_id
-  JOIN outlets org ON org.cnpj_cd = t.orig_cnpj_fiscal_id LEFT JOIN outlets dst ON dst.cnpj_cd = t.dest_cnpj_fiscal_id
-  JOIN outlets own ON own.cnpj_cd = w.wholesaler_CGC
-  LEFT JOIN factors sq ON sq.wholesaler_CGC = t.orig_cnpj_fiscal_id AND sq.pcmdty_id = t.pcmdty_id AND t.dsupp_is_assc_ind = 1
-  WHERE t.pcmdty_id > 0 AND t.pcmdty_id < 999999)"""
+  SELECT r.line_id, r.dsupp_proc_id, r.trans_dt, r.icms_typ_cd, r.pcmdty_id, if(r.pcmdty_qty_mult_fct = 0, 1, r.pcmdty_qty_mult_fct) AS pcmdty_qty_mult_fct,
+    if(seller_factor = 0, 1, seller_factor) AS seller_qty_mult_fct, r.pur_prc_amt, r.icms_tax_pct, r.prc_disc_pct,
+    buyer.outlet_code AS buyer_otlt_cd, seller.outlet_code AS seller_otlt_cd, r.dsupp_is_assc_ind, r.pck_is_medcn_ind, r.ppp_dsupp_typ_cd,
+    part_played.is_distr AS dsupp_is_distr_ind, r.period_cd
+  FROM reported r JOIN part_played USING (played)
+  SEMI JOIN tax_id known_origin ON known_origin.id = ids['orig'] SEMI JOIN tax_id known_own ON known_own.id = ids['own']
+  LEFT JOIN tax_id buyer ON buyer.id = ids[buys_as] LEFT JOIN tax_id seller ON seller.id = ids[sells_as]
+  LEFT JOIN seller_factor f ON f.orig_cnpj_fiscal_id = r.orig_cnpj_fiscal_id AND f.pcmdty_id = r.pcmdty_id AND f.dsupp_is_assc_ind = r.dsupp_is_assc_ind)"""
 
 
 def _resolved(d):
