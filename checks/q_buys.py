@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from checks.base_sql import NET, SUPPLIER_ID, pm, share12
 from checks.domain import FIRST, LAST
+from checks.q_reference import scratch
 from checks.registry import add
 from pricemill.operators import buys, outliers
+from pricemill.plans.monthly import PriceStore
 from pricemill.session import cut_lineage
+from pricemill.streaming.buys import load_arrived
 
 P = {"period_from": FIRST, "period_to": LAST}
 
@@ -20,6 +23,19 @@ BUYS = (
 )
 add("buys_normalise", BUYS, lambda d: d.buys, "SELECT * FROM buys")
 
+
+def _arrived(d):
+    """The same lines as files that arrive, loaded as a stream."""
+    folder, raw = scratch(d, "arriving"), d.raw_buys
+    raw.repartition(4).write.parquet(f"{folder}/in")
+    stream = d.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    store = PriceStore(d.spark, f"{folder}/store")
+    load_arrived(store, stream, d.provider_factors, batch_id="b1", checkpoint=f"{folder}/state")
+    return store.read("buys")
+
+
+add("stream_raw_buys", BUYS, _arrived, "SELECT * FROM buys")
+
 LATEST_FACTORS = """
   SELECT orig_cnpj_fiscal_id AS wholesaler_CGC, pcmdty_id, max({'month': period_cd, 'factor': pcmdty_qty_mult_fct}).factor AS pcmdty_qty_mult_fct
   FROM buys SEMI JOIN (SELECT wholesaler_CGC AS orig_cnpj_fiscal_id FROM providers WHERE ppp_dsupp_typ_cd = 'PHARMACY') USING (orig_cnpj_fiscal_id)
