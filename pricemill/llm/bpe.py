@@ -19,10 +19,12 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from hashlib import blake2b
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -31,6 +33,7 @@ SEED = 17
 LONG_CHUNK = 48  # characters; longer chunks take the priority queue
 BATCH_CHARACTERS = 1 << 20
 MERGED_CHUNKS = 1 << 14  # distinct chunks that are merged together
+CACHED = 1 << 18  # distinct chunks whose merges without dropout a task keeps: some 50 MB
 SLOTS = 20  # log2 of the slots of the table of pairs
 SPACE = "▁"
 NONE = np.int64(1) << np.int64(40)  # rank of a pair that does not merge
@@ -69,6 +72,7 @@ class Encoder:
         count = pieces.GetPieceSize()
         special = {i for i in range(count) if pieces.IsControl(i) or pieces.IsUnknown(i) or pieces.IsByte(i)}
         self.limit, self.seed = int(dropout * (1 << 53)), seed
+        self._forget()
         self.byte_ids = np.array([pieces.PieceToId(f"<0x{b:02X}>") for b in range(256)], np.int32)
         self.ids = {pieces.IdToPiece(i).replace(SPACE, " "): i for i in range(count) if i not in special}
         self.bytes_of = [b""] * count
@@ -252,6 +256,42 @@ class Encoder:
             symbol, chunk = out, np.repeat(chunk, width)
         return symbol.astype(np.int32), np.searchsorted(chunk, np.arange(chunks + 1))
 
+    def _merges(self, words: list[str], skips: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and taken merges of each word without the candidates it skips, and where those of each word begin."""
+        ids, paths, begins, starts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        for low in range(0, len(words), MERGED_CHUNKS):
+            some = words[low : low + MERGED_CHUNKS]
+            skipped = np.sort(np.array([i << 18 | c for i, skip in enumerate(skips[low : low + MERGED_CHUNKS]) for c in skip], np.int64))
+            rounds: list = []
+            found, begin = self.merge_all(some, None, skipped, rounds)
+            ids.append(found)
+            begins.append(begins[-1][-1] + begin[1:])
+            of = np.concatenate([np.zeros(0, np.int64), *[r[0] for r in rounds]])
+            paths.append(np.concatenate([np.zeros(0, np.int64), *[r[1] for r in rounds]])[np.argsort(of, kind="stable")])
+            starts.append(starts[-1][-1] + np.cumsum(np.bincount(of, minlength=len(some))))
+        return np.concatenate(ids), np.concatenate(begins), np.concatenate(paths), np.concatenate(starts)
+
+    def _without_dropout(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``_merges`` of words that skip nothing; those of up to CACHED words stay for the batches to come."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > CACHED:
+            self._forget()
+            new = words
+        if new:
+            ids, begins, path, starts = self._merges(new, [()] * len(new))
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            old_ids, old_begins, old_path, old_starts = self.cached
+            self.cached = (
+                np.concatenate([old_ids, ids]), np.concatenate([old_begins, old_begins[-1] + begins[1:]]),
+                np.concatenate([old_path, path]), np.concatenate([old_starts, old_starts[-1] + starts[1:]]),
+            )
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return (*_picked(*self.cached[:2], at), *_picked(*self.cached[2:], at))
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.cached = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+
     def segment_all(self, words: list[str], word: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where in them the ids of each place begin and how many there are; ``word`` and ``keys`` by place.
 
@@ -267,22 +307,11 @@ class Encoder:
         nodes_word, nodes_skip, nodes_from = kinds, [()] * len(kinds), np.zeros(len(kinds), np.int64)
         open_ = np.arange(len(word))
         while len(open_):
-            node_first, node_size, begins, merges = np.zeros(len(nodes_word), np.int64), np.zeros(len(nodes_word), np.int64), [np.zeros(1, np.int64)], []
-            for low in range(0, len(nodes_word), MERGED_CHUNKS):
-                skips = nodes_skip[low : low + MERGED_CHUNKS]
-                count = len(skips)
-                skipped = np.sort(np.array([i << 18 | c for i, skip in enumerate(skips) for c in skip], np.int64))
-                rounds: list = []
-                ids, begin = self.merge_all([words[w] for w in nodes_word[low : low + count].tolist()], None, skipped, rounds)
-                node_first[low : low + count], node_size[low : low + count] = total + begin[:-1], np.diff(begin)
-                out.append(ids)
-                total += len(ids)
-                of = np.concatenate([np.zeros(0, np.int64), *[r[0] for r in rounds]])
-                order = np.argsort(of, kind="stable")
-                merges.append(np.concatenate([np.zeros(0, np.int64), *[r[1] for r in rounds]])[order])
-                begins.append(begins[-1][-1] + np.cumsum(np.bincount(of, minlength=count)))
-            begin, path = np.concatenate(begins), np.concatenate(merges)
-            first[open_], size[open_] = node_first[node], node_size[node]
+            spelled = [words[w] for w in nodes_word.tolist()]
+            ids, begins, path, begin = self._without_dropout(spelled) if nodes_word is kinds else self._merges(spelled, nodes_skip)
+            out.append(ids)
+            first[open_], size[open_] = total + begins[:-1][node], np.diff(begins)[node]
+            total += len(ids)
             if not self.limit:
                 break
             # the first merge of its path that each place skips, one step of all paths at a time
@@ -297,10 +326,10 @@ class Encoder:
                 at[walking] += 1
                 walking = walking[at[walking] < end[walking]]
             left = np.flatnonzero(gone >= 0)
-            kinds, at = np.unique(gone[left], return_inverse=True)
-            parent = np.searchsorted(begin, kinds, side="right") - 1
-            nodes_skip = [nodes_skip[p] + (c,) for p, c in zip(parent.tolist(), path[kinds].tolist(), strict=True)]
-            nodes_word, nodes_from = nodes_word[parent], kinds - begin[parent]
+            taken, at = np.unique(gone[left], return_inverse=True)
+            parent = np.searchsorted(begin, taken, side="right") - 1
+            nodes_skip = [nodes_skip[p] + (c,) for p, c in zip(parent.tolist(), path[taken].tolist(), strict=True)]
+            nodes_word, nodes_from = nodes_word[parent], taken - begin[parent]
             open_, node = open_[left], at
         return np.concatenate(out), first, size
 
@@ -310,7 +339,7 @@ class Encoder:
         """Ids of each text; null and empty texts have none."""
         cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat = pa.array([c for chunks in cut for c in chunks], pa.large_string()).dictionary_encode()
+        flat = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
         if not len(flat):
             return [np.zeros(0, np.int32) for _ in texts]
         number = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -318,7 +347,7 @@ class Encoder:
         salt = (salt ^ (salt >> np.uint64(31))) * np.uint64(K1)
         words, word = flat.dictionary.to_pylist(), flat.indices.to_numpy().astype(np.int64)
         crc = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)
-        long = np.fromiter((len(w) > LONG_CHUNK for w in words), bool, len(words))[word]
+        long = (pc.utf8_length(flat.dictionary).to_numpy() > LONG_CHUNK)[word]
         first, spread = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
         short = np.flatnonzero(~long)
         ids, first[short], spread[short] = self.segment_all(words, word[short], self.chunk_keys(crc[word[short]], salt[short]))
@@ -350,6 +379,14 @@ class Encoder:
         return text[1:]
 
 
+def _picked(values: np.ndarray, begin: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``values``, which begin at ``begin``, one after the other, and where each begins."""
+    size = begin[at + 1] - begin[at]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(begin[at] - (ends - size), size) + np.arange(total)], np.concatenate(([0], ends))
+
+
 SCHEMA = "doc_id long, n_tokens long, token_ids array<int>, lossless boolean"
 
 
