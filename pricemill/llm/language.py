@@ -9,7 +9,7 @@ is left out of the fit; on it the temperature that divides the scores is chosen
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -76,9 +76,28 @@ class Model:
 
 def scaled(count: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(count)
-    x = (1 + np.log(count[at])) * idf[at]
+    return at, scaled_at(at, count[at], idf)
+
+
+def scaled_at(at: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = (1 + np.log(count)) * idf[at]
     norm = np.sqrt(x @ x)
-    return at, (x / norm if norm else x)
+    return x / norm if norm else x
+
+
+class Sample:
+    """The vectors of the sample, each made from its counts when it is asked for: the driver holds the counts only."""
+
+    def __init__(self, at: pa.ChunkedArray, count: pa.ChunkedArray, idf: np.ndarray, chosen: np.ndarray):
+        self.at, self.count, self.idf, self.chosen = at, count, idf, chosen
+
+    def __len__(self) -> int:
+        return len(self.chosen)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        row = int(self.chosen[i])
+        at = self.at[row].values.to_numpy()
+        return at, scaled_at(at, self.count[row].values.to_numpy().astype(np.int64), self.idf)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -86,7 +105,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal with per-coordinate rates; the last coordinate is the bias, which has no penalty."""
     z, n = np.zeros((BUCKETS + 1, classes)), np.zeros((BUCKETS + 1, classes))
     one_hot = np.eye(classes)
@@ -100,7 +119,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes:
     order = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in order.permutation(len(rows)):
-            at, x = np.append(rows[i][0], BUCKETS), np.append(rows[i][1], 1.0)
+            at, x = rows[i]
+            at, x = np.append(at, BUCKETS), np.append(x, 1.0)
             w = weights(at)
             g = x[:, None] * (softmax(x @ w) - one_hot[labels[i]])
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA * w
@@ -176,17 +196,12 @@ def train(docs: DataFrame) -> Model:
     named = rows["lang"].to_pylist()
     languages = sorted(set(named))
     labels = np.array([languages.index(name) for name in named])
-    vectors = []
-    for at, found in zip(rows["at"], rows["count"], strict=True):
-        count = np.zeros(BUCKETS, np.int64)
-        count[at.values.to_numpy()] = found.values.to_numpy()
-        vectors.append(scaled(count, idf))
-    aside = np.arange(len(vectors)) % CALIBRATION == CALIBRATION - 1
-    use = np.flatnonzero(~aside)
-    weights, bias = fit([vectors[i] for i in use], labels[use], len(languages))
+    aside = np.arange(len(labels)) % CALIBRATION == CALIBRATION - 1
+    use, checked = np.flatnonzero(~aside), np.flatnonzero(aside)
+    weights, bias = fit(Sample(rows["at"], rows["count"], idf, use), labels[use], len(languages))
     model = Model(languages, idf, weights, bias)
-    checked = np.flatnonzero(aside)
-    model.temperature = calibrate(np.array([model.logits(*vectors[i]) for i in checked]), labels[checked])
+    left = Sample(rows["at"], rows["count"], idf, checked)
+    model.temperature = calibrate(np.array([model.logits(*left[i]) for i in range(len(left))]), labels[checked])
     return model
 
 
