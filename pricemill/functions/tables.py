@@ -80,3 +80,16 @@ def write_periods(df: DataFrame, path: str, name: str = "period_cd") -> None:
         .partitionBy(name)
         .parquet(path)
     )
+
+
+def store_in_buckets(df: DataFrame, name: str, path: str, *, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` as the table ``name`` in buckets of ``keys``, each one sorted file, and read it back.
+
+    Aggregations and windows whose keys contain these columns, and joins on exactly these, need no exchange of it, with as
+    many buckets as shuffle partitions at least.
+    """
+    (
+        df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    )
+    return df.sparkSession.table(name)

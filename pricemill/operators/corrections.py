@@ -75,6 +75,23 @@ def _apply(table: DataFrame, changes: DataFrame, keys: list[str], step: int) ->
     return update_join(table, new, keys, ["ppp_prc_amt", "step_cd"])
 
 
+def _apply_to_geos(geo: DataFrame, changes: DataFrame, step: int) -> DataFrame:
+    """The changed geos of a product and month meet its rows as one map (of one entry per geo at most).
+
+    So the join is on (month, product), by which the table may be stored in buckets, and only the changes are shuffled.
+    """
+    price_of = F.struct(F.max("ppp_prc_amt_new").cast(geo.schema["ppp_prc_amt"].dataType).alias("price"))
+    entries = F.collect_list(F.struct("geo_lvl_cd", "_price"))
+    new = changes.groupBy(*GEO_KEY).agg(price_of.alias("_price")).groupBy(*PRODUCT_KEY).agg(F.map_from_entries(entries).alias("_new"))
+    found = F.try_element_at(F.col("_new"), F.col("geo_lvl_cd"))
+    joined = geo.join(new, PRODUCT_KEY, "left").withColumn("_found", found)
+    values = {
+        "ppp_prc_amt": F.when(F.col("_found").isNotNull(), F.col("_found.price")).otherwise(F.col("ppp_prc_amt")),
+        "step_cd": F.when(F.col("_found").isNotNull(), F.lit(step).cast(geo.schema["step_cd"].dataType)).otherwise(F.col("step_cd")),
+    }
+    return joined.select(*[values[c].alias(c) if c in values else F.col(c) for c in geo.columns])
+
+
 def smooth_channel(
     geo: DataFrame, national: DataFrame, *, period_from: str, period_to: str, k: float = 1.5,
     batch_id: str = "", keep: Keep = same_frame,
@@ -86,7 +103,7 @@ def smooth_channel(
     flagged = keep(channel_flags(geo, national, period_from=period_from, period_to=period_to, k=k))
     changes = flagged.filter(F.col("flag_updated") == 1)
     return (
-        _apply(geo, changes, GEO_KEY, SMOOTHED),
+        _apply_to_geos(geo, changes, SMOOTHED),
         geo_audit(changes, "Prices-Smooth-Step-1.1", batch_id),
         flagged,
     )
@@ -95,12 +112,16 @@ def smooth_channel(
 def both_channel_changes(
     geo: DataFrame, flagged: DataFrame, *, period_from: str, period_to: str
 ) -> DataFrame:
-    """Geos still flagged: unit-weighted mean of the unflagged geos in states with units."""
-    left = flagged.filter(F.col("flag_updated") == 0).select(*GEO_KEY, F.lit(1).alias("_left"))
+    """Geos still flagged: unit-weighted mean of the unflagged geos in states with units.
+
+    Only products with a flagged geo are looked at.  Everything is keyed by (month, product): one shuffle of the table, and
+    none if it is stored in buckets of these columns.
+    """
+    left = flagged.filter(F.col("flag_updated") == 0).groupBy(*PRODUCT_KEY).agg(F.collect_set("geo_lvl_cd").alias("_geos"))
     universe = (
         geo.filter(in_range(period_from, period_to))
-        .join(left, GEO_KEY, "left")
-        .withColumn("_left", F.coalesce("_left", F.lit(0)))
+        .join(left, PRODUCT_KEY, "inner")
+        .withColumn("_left", flag(F.array_contains("_geos", F.col("geo_lvl_cd"))))
         .withColumn("_ind", flag(F.sum("wgt_units_qty").over(_state_pair()) > 0))
     )
     weight = F.when(F.col("_left") == 0, (F.col("sales_units_qty") * F.col("_ind")).cast(UNITS))
@@ -134,7 +155,7 @@ def smooth_both_channels(
     """Second smoothing pass on the result of the first -> (geo, audit)."""
     changes = keep(both_channel_changes(geo, flagged, period_from=period_from, period_to=period_to))
     return (
-        _apply(geo, changes, GEO_KEY, SMOOTHED),
+        _apply_to_geos(geo, changes, SMOOTHED),
         geo_audit(changes, "Prices-Smooth-Step-1.2", batch_id),
     )
 
@@ -189,7 +210,7 @@ def smooth_history(
         history_changes(geo, products, period=period, months=months, pct=pct, keep=keep)
     )
     return (
-        _apply(geo, changes, GEO_KEY, SMOOTHED), geo_audit(changes, "Prices-Smooth-Step-2", batch_id)
+        _apply_to_geos(geo, changes, SMOOTHED), geo_audit(changes, "Prices-Smooth-Step-2", batch_id)
     )
 
 
