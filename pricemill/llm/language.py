@@ -244,7 +244,12 @@ LEAST_SCORE = 0.3
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose predicted language has a score of LEAST_SCORE at least, with their own columns."""
+    """The rows of ``docs`` whose predicted language has a score of LEAST_SCORE at least, with their own columns.
+
+    Rows with a null or empty text, or one without letters, go; whole texts count, however long.  Repeated rows stay or go
+    alike, and keep their number; ties between languages go to the first by name.  Rows without a lang are predicted, but not learned
+    from; a table without any lang, or without rows, gives an empty result.
+    """
     model = train(docs)
     shape = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
     marked = predict(docs.select(*shape, F.col("text")), model)

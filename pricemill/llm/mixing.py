@@ -160,6 +160,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     By (mix_shard, mix_slot, mix_at) the rows are in the order of the mix.  A span of a whole document keeps its text as it is;
     otherwise text has the words of the span, joined by one space.  n_chars counts them.  Documents of which nothing is taken
     are left out; columns of ``docs`` named as those of PLACE are replaced.
+
+    So null and empty texts, which have no words, are left out; a null source is a source, the last one.  Long texts are cut into spans
+    of blocks.  Repeated rows, and rows that repeat a doc_id or have none, are documents of their own, each taken twice at most.
+    An empty table gives an empty result.
     """
     columns = [c for c in docs.columns if c not in PLACE]
     whole = sized_documents(docs, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"))
