@@ -77,6 +77,10 @@ class PriceStore:
         write_period(df, self.path(name), period, by)
         return self.read(name, like=df).filter(F.col(by) == period)
 
+    def stage(self, name: str, period: str) -> Keep:
+        """Keeps a frame of the month as a stage table: columnar, and read by its columns, unlike a checkpoint."""
+        return lambda df: self.replace(name, df, period)
+
     def merge(self, name: str, df: DataFrame, months: Collection[str]) -> None:
         """Overwrite ``months`` with ``df``, which may have been read from this table."""
         df = cut_lineage(df)
@@ -179,14 +183,19 @@ def run_month(
         period,
     )
     clean = store.replace(
-        "tax_calc_clean", outliers.clean_transactions(taxed, i["list_d"], i["band"]), period
+        "tax_calc_clean",
+        outliers.clean_transactions(taxed, i["list_d"], i["band"], keep=store.stage("tax_calc_in_band", period)), period
     )
     sales = i["sales"].filter(F.col("period_cd") == period)
-    filled = cut_lineage(
-        weighting.step1_prices(clean, sales, i["outlets"], i["providers"], i["states"])
+    filled = store.replace(
+        "step1_filled",
+        weighting.step1_prices(
+            clean, sales, i["outlets"], i["providers"], i["states"], keep=store.stage("step1_transactions", period)
+        ),
+        period,
     )
-    geo_month = cut_lineage(weighting.step1_geo(filled))
-    national_month = cut_lineage(weighting.step1_national(filled))
+    geo_month = store.replace("step1_geo", weighting.step1_geo(filled), period)
+    national_month = store.replace("step1_national", weighting.step1_national(filled), period)
     complete_month(store, i, national_month, geo_month, period=period, batch_id=batch_id)
     complete_history(store, i, period=period, batch_id=batch_id, min_period=min_period)
     publish_month(store, i, period=period, executed_at=executed_at, must_pass=must_pass)
