@@ -159,7 +159,7 @@ def run_month(
     if "corrections" in i and (wrong := corrections.invalid_months(i["corrections"]).limit(10).collect()):
         raise ValueError(f"corrections of months that are no months: {[r.period_cd for r in wrong]}")
     month = {"period_from": period, "period_to": period}
-    undone = undo_runs(store, period, _journal_like(store.spark))
+    undone = undo_runs(store, period, journal_like(store.spark))
     raw = i["raw_buys"]
     if "provider_list" in i:
         raw = raw.unionByName(buys.impute_missing_providers(raw, i["provider_list"], period=period))
@@ -257,7 +257,7 @@ JOURNAL = """pcmdty_id int, geo_lvl_cd string, ppp_prc_amt decimal(18,4), step_c
     sales_units_qty decimal(22,0), period_cd string, existed int, table_nm string, run_cd string"""
 
 
-def _journal_like(spark: SparkSession) -> DataFrame:
+def journal_like(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], JOURNAL)
 
 
@@ -301,7 +301,7 @@ def complete_history(
         history.before_images(table.filter(touched), changed, name=name, run=period)
         for name, table in zip(HISTORIES, (old_national, old_geo), strict=True)
     ]
-    like = _journal_like(store.spark)
+    like = journal_like(store.spark)
     store.replace(
         "journal", reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), journal, like).select(*[F.col(f.name).cast(f.dataType) for f in like.schema]), period, RUN
     )

@@ -70,7 +70,7 @@ def test_two_months_and_a_rerun(spark, sf_dir, tmp_path):
         monthly.publish_month(
             store, tables, period="200106", executed_at="", must_pass=[n for n, result in results.items() if result == "FAILED"])
     # Undoing the second month gives the earlier months back as the first one left them.
-    assert undo_runs(store, "200106", monthly._journal_like(spark)) == ["200106"]
+    assert undo_runs(store, "200106", monthly.journal_like(spark)) == ["200106"]
     for name, rows in after_first.items():
         table = store.read(name).filter("period_cd < '200106'")
         assert sorted(map(str, table.select(sorted(table.columns)).collect())) == rows, name
@@ -105,7 +105,7 @@ def prices(store, product):
 
 
 def complete(store, tables):
-    undo_runs(store, "200105", monthly._journal_like(store.spark))
+    undo_runs(store, "200105", monthly.journal_like(store.spark))
     complete_history(store, tables, period="200105", batch_id="b", min_period="200101")
 
 
@@ -120,7 +120,7 @@ def test_a_month_run_twice_gives_the_same_prices(stored):
     complete(store, tables)
     for name, rows in once.items():
         assert content(store, name) == rows, name
-    undo_runs(store, "200105", monthly._journal_like(store.spark))
+    undo_runs(store, "200105", monthly.journal_like(store.spark))
     assert {name: content(store, name) for name in monthly.HISTORIES} == start
 
 
@@ -129,7 +129,7 @@ def test_a_run_after_a_failure_between_the_tables(stored, monkeypatch, failing):
     store, tables = stored
     complete(store, tables)
     expected = {name: content(store, name) for name in monthly.HISTORIES}
-    undo_runs(store, "200105", monthly._journal_like(store.spark))
+    undo_runs(store, "200105", monthly.journal_like(store.spark))
     merge = PriceStore.merge
 
     def fails(self, name, df, months):
@@ -154,11 +154,11 @@ def test_an_earlier_month_undoes_the_later_ones(stored, spark):
         new = store.read(name).filter("period_cd = '200105' and pcmdty_id = 1")
         store.replace(name, new.withColumns({"period_cd": F.lit("200106"), "pcmdty_id": F.lit(10)}), "200106")
     complete_history(store, tables, period="200106", batch_id="b", min_period="200101")
-    assert undo_runs(store, "200105", monthly._journal_like(spark)) == ["200105", "200106"]
+    assert undo_runs(store, "200105", monthly.journal_like(spark)) == ["200105", "200106"]
     for name, rows in start.items():
         table = store.read(name).filter("period_cd <= '200105'")
         assert sorted(map(str, table.select(sorted(table.columns)).collect())) == rows
-    assert undo_runs(store, "200105", monthly._journal_like(spark)) == []
+    assert undo_runs(store, "200105", monthly.journal_like(spark)) == []
 
 
 def test_merged_ids_and_manual_prices_are_undone(stored, spark):
@@ -173,7 +173,7 @@ def test_merged_ids_and_manual_prices_are_undone(stored, spark):
         assert prices(store, 9) == {} and prices(store, 2) == {"200103": (3.0, 1), "200105": (5.0, 1)}
         assert prices(store, 1)["200102"] == (11.0, 50) and prices(store, 8) == {"200105": (4.0, 50)}
         assert store.read("geo_price").filter("pcmdty_id = 8").count() == 4
-    undo_runs(store, "200105", monthly._journal_like(spark))
+    undo_runs(store, "200105", monthly.journal_like(spark))
     assert {name: content(store, name) for name in monthly.HISTORIES} == start
 
 
