@@ -402,7 +402,7 @@ def test_scores_use_every_context(spark, monkeypatch):
 
 
 def test_search_equals_brute_force(docs, rows, monkeypatch):
-    monkeypatch.setattr(search, "SHARD_ROWS", 60)
+    monkeypatch.setattr(search, "SHARD_BYTES", sum(len(r.text or "") for r in rows) // 4)
     counted = {r.doc_id: Counter(search.terms_of(r.text)) for r in rows}
     having = Counter(t for c in counted.values() for t in c)
     mean = sum(sum(c.values()) for c in counted.values()) / len(counted)
@@ -419,6 +419,47 @@ def test_search_equals_brute_force(docs, rows, monkeypatch):
         assert [d for _, d in sorted(got[q])] == [d for _, d in sorted(scored)[: search.TOP]]
 
 
+def test_search_skips_blocks_and_loses_nothing():
+    """Whole texts as queries, then a seldom word with one that all texts have, whose blocks without the first are of no use."""
+    rng = np.random.default_rng(5)
+    words = [[f"{g}{i}" for i in range(300)] for g in "ab"]
+    share = 1 / np.arange(1, 301)
+    texts = [["the", *rng.choice(words[i % 2], 20 + i % 90, p=share / share.sum())] for i in range(3000)]
+    number, postings = {}, []
+    for text in texts:
+        postings.append(sorted((number.setdefault(t, len(number)), c) for t, c in Counter(text).items()))
+    counted = [dict(p) for p in postings]
+    having, mean = Counter(t for c in counted for t in c), sum(map(len, texts)) / len(texts)
+    chunks = []
+    for part in (slice(0, 1700), slice(1700, 3000)):
+        head = [range(3000)[part], [1] * len(texts[part]), [len(t) for t in texts[part]], [len(p) for p in postings[part]]]
+        flat = [x for p in postings[part] for x in p]
+        columns = [np.array(c, np.int64) for c in (*head, [t for t, _ in flat], [c for _, c in flat])]
+        chunks.append(search.pack(*columns))
+        assert all((a == b).all() for a, b in zip(columns, search.unpack(chunks[-1]), strict=True))
+    order = rng.permutation(len(number))
+    weights = np.array([search.idf(len(texts), having[t]) for t in order])
+    index = search.Index(order, 10 * np.arange(len(order)), weights, chunks, mean)
+    name = {t: 10 * i for i, t in enumerate(order.tolist())}
+
+    def check(query):
+        found = index.search(np.array(sorted([*(name[t] for t in query), 7, 10**6])))
+        scored = []
+        for d, c in enumerate(counted):
+            norm = search.K1 * (1 - search.B + search.B * len(texts[d]) / mean)
+            s = sum(search.idf(len(texts), having[t]) * c[t] * (search.K1 + 1) / (c[t] + norm) for t in query if t in c)
+            scored.append((-round(s, search.DIGITS), d))
+        assert found == [(d, -s) for s, d in sorted(scored)[: search.TOP] if s < 0]
+
+    for q in range(0, 3000, 100):
+        check(counted[q])
+    assert index.blocks_read < index.blocks_seen
+    index.blocks_read = index.blocks_seen = 0
+    for t in [t for t in having if 12 <= having[t] <= 40][:20]:
+        check([t, number["the"]])
+    assert 0 < index.blocks_read < 0.7 * index.blocks_seen
+
+
 def test_messages_give_exact_marginals():
     model = html_text.fit(html_text.label_layouts())
     tree = html_text.parse("<body><div class=ad><p>a b</p></div><article><p>some text.</p></article>")
