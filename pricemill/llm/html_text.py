@@ -356,8 +356,16 @@ def fit(pages: list[tuple[Tree, list[int]]], steps: int = 500, rate: float = 0.3
 
 def train(pages: DataFrame) -> Model:
     """Fit on the first SAMPLE pages by the hash of page_id and on the layouts."""
-    rows = pages.where(F.col("html").isNotNull()).orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(SAMPLE)
-    labelled = [(t, l) for t in (parse(r["html"]) for r in rows.select("html").collect()) if (l := label_by_role(t))]
+    keyed = pages.where(F.col("html").isNotNull()).select(
+        F.xxhash64("page_id").alias("place"), "page_id", F.xxhash64("html").alias("content"), "html")
+    order = ["place", "page_id", "content"]
+    picked = [tuple(r) for r in keyed.select(*order).orderBy(*order).limit(SAMPLE).collect()]
+    if not picked:
+        return fit(label_layouts() * LAYOUT_COPIES)
+    # only then their texts are read, once for rows that repeat
+    chosen = keyed.where(F.struct("place", "content").isin([F.struct(F.lit(p), F.lit(c)) for p, _, c in dict.fromkeys(picked)]))
+    html = {tuple(r)[:3]: r["html"] for r in chosen.groupBy(*order).agg(F.min("html").alias("html")).collect()}
+    labelled = [(t, l) for t in (parse(html[key]) for key in picked) if (l := label_by_role(t))]
     return fit(labelled + label_layouts() * LAYOUT_COPIES)
 
 
