@@ -363,7 +363,7 @@ def train(pages: DataFrame) -> Model:
     if not picked:
         return fit(label_layouts() * LAYOUT_COPIES)
     # only then their texts are read, once for rows that repeat
-    chosen = keyed.where(F.struct("place", "content").isin([F.struct(F.lit(p), F.lit(c)) for p, _, c in dict.fromkeys(picked)]))
+    chosen = keyed.where(F.struct("place", "content").isin([F.struct(F.lit(p).cast("long"), F.lit(c).cast("long")) for p, _, c in dict.fromkeys(picked)]))
     html = {tuple(r)[:3]: r["html"] for r in chosen.groupBy(*order).agg(F.min("html").alias("html")).collect()}
     labelled = [(t, l) for t in (parse(html[key]) for key in picked) if (l := label_by_role(t))]
     return fit(labelled + label_layouts() * LAYOUT_COPIES)
