@@ -141,6 +141,7 @@ v("rule_non_empty", "n_rows:i", lambda d: rules.too_few_rows(d.states, expected=
 
 
 def _all_rules(d) -> list[rules.Rule]:
+    d = d.on_kept_lines()
     Rule, natl, geo = rules.Rule, _natl(d), _geo(d)
     return [
         *rules.feed_rules(d.price_feed, period=CUR),

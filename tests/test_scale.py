@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks.domain import domain
@@ -84,3 +85,20 @@ def test_arriving_lines_are_not_dealt_to_a_fixed_number_of_files(spark, sf_dir,
     monkeypatch.setattr(d, "raw_buys", d.raw_buys.repartition(6))
     q_buys._arrived(d)
     assert seen["files"] == 12 and seen["batches"] == 2
+
+
+@pytest.mark.parametrize("key", ["rule_engine"])
+def test_lines_are_joined_once_for_all_branches(spark, sf_dir, monkeypatch, key):
+    from checks import domain as tables
+    from checks.queries import QUERIES
+
+    written = []
+
+    def kept(df):
+        written.append(plan(df))
+        return write_out(df)
+
+    monkeypatch.setattr(tables, "write_out", kept)
+    result = plan(QUERIES[key].spark(spark, sf_dir))
+    assert sum(text.count("FileScan parquet [l_orderkey") for text in written) == 1
+    assert "l_partkey" not in result
