@@ -411,8 +411,9 @@ REPORT = (
 
 
 def _report(d):
+    d = d.on_kept_lines()
     return report.qc_price_validation(
-        d.stored("national"), d.stored("geo"), d.stored("clean"), d.price_list("L"), d.product_view, d.product_ext, period_to=CUR
+        d.stored("national"), d.stored("geo"), d.clean, d.price_list("L"), d.product_view, d.product_ext, period_to=CUR
     )
 
 
