@@ -87,7 +87,7 @@ def test_arriving_lines_are_not_dealt_to_a_fixed_number_of_files(spark, sf_dir,
     assert seen["files"] == 12 and seen["batches"] == 2
 
 
-@pytest.mark.parametrize("key", ["rule_engine", "suggest_adjustment"])
+@pytest.mark.parametrize("key", ["rule_engine", "drop_low_price_groups", "suggest_adjustment"])
 def test_lines_are_joined_once_for_all_branches(spark, sf_dir, monkeypatch, key):
     from checks import domain as tables
     from checks.queries import QUERIES
