@@ -102,3 +102,15 @@ def test_lines_are_joined_once_for_all_branches(spark, sf_dir, monkeypatch, key)
     result = plan(QUERIES[key].spark(spark, sf_dir))
     assert sum(text.count("FileScan parquet [l_orderkey") for text in written) == 1
     assert "l_partkey" not in result
+
+
+def test_only_lines_of_the_class_are_dealt_by_id(spark):
+    lines = spark.createDataFrame(
+        [("a", "WHOLESALER"), ("a", "PHARMACY"), ("b", "WHOLESALER"), ("c", None), ("c", None), (None, "WHOLESALER"), (None, "WHOLESALER")],
+        "line_id string, buyer_ppp_typ_cd string",
+    )
+    kept = buys.drop_duplicate_lines(lines)
+    rows = sorted((str(r.line_id), str(r.buyer_ppp_typ_cd)) for r in kept.collect())
+    assert rows == [("None", "WHOLESALER")] * 2 + [("a", "PHARMACY"), ("b", "WHOLESALER"), ("c", "None"), ("c", "None")]
+    assert sorted(map(str, buys.drop_duplicate_lines(lines, dealt=True).collect())) == sorted(map(str, kept.collect()))
+    assert "Union" in plan(kept) and "Union" not in plan(buys.drop_duplicate_lines(lines, dealt=True))
