@@ -8,7 +8,7 @@ seed, doc_id, chunk number and chunk, so every place of a word is decided anew,
 
 ``Encoder.agenda`` is the plain form with a priority queue.  ``Encoder.merge_all`` gives the same for many chunks at
 once: in each round every chunk takes its best merge.  ``Encoder.segment_all`` merges a word once for each set of candidates
-that any of its places skips on its way, and gives each place the result it would have alone.  Characters without a piece become byte pieces; so does U+2581,
+that any of its places skips on its way, and gives each place the result it would have alone; the places of a new word that has few are merged at once.  Characters without a piece become byte pieces; so does U+2581,
 which stands for a space in pieces.  Decoding gives back the text, whatever the dropout.
 """
 
@@ -19,7 +19,6 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from hashlib import blake2b
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -33,13 +32,15 @@ SEED = 17
 LONG_CHUNK = 48  # characters; longer chunks take the priority queue
 BATCH_CHARACTERS = 1 << 20
 MERGED_CHUNKS = 1 << 14  # distinct chunks that are merged together
-CACHED = 1 << 18  # distinct chunks whose merges without dropout a task keeps: some 50 MB
+SELDOM = 2  # places in a batch of a new chunk, up to which each is merged by its own key
+CACHED = 1 << 17  # distinct chunks whose merges without dropout a task keeps: some 30 MB
 SLOTS = 20  # log2 of the slots of the table of pairs
 SPACE = "▁"
 NONE = np.int64(1) << np.int64(40)  # rank of a pair that does not merge
 MASK = (1 << 64) - 1
 K1, K2, K3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 CHUNK = re.compile(r" +[^ \n]*|[^ \n]+|\n")
+GAP, FEED = 0x20, 0x0A
 
 
 def _dropped(key: int, start: int, middle: int, end: int, limit: int) -> bool:
@@ -297,15 +298,25 @@ class Encoder:
 
         What a place skips matters only where the candidate would be taken.  So places start from the merges of their word without
         dropout; the first of these that a place skips leads it to the merges without that one, which agree up to there, and so
-        on.  Each set of skipped candidates of a word is merged once.
+        on.  Each set of skipped candidates of a word is merged once.  A word with up to SELDOM places whose merges are not kept
+        would save nothing by that: its places are merged by their keys.
         """
         out, first, size, total = [np.zeros(0, np.int32)], np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), 0
         if not len(word):
             return out[0], first, size
         # nodes: a word, the candidates skipped so far (sorted), and the number of merges known to be taken
-        kinds, node = np.unique(word, return_inverse=True)
+        kinds, node, places = np.unique(word, return_inverse=True, return_counts=True)
+        seldom = (places <= SELDOM) & np.fromiter((words[w] not in self.known for w in kinds.tolist()), bool, len(kinds)) & bool(self.limit)
+        alone = np.flatnonzero(seldom[node])
+        for low in range(0, len(alone), MERGED_CHUNKS):
+            some = alone[low : low + MERGED_CHUNKS]
+            ids, begins = self.merge_all([words[w] for w in word[some].tolist()], keys[some])
+            out.append(ids)
+            first[some], size[some] = total + begins[:-1], np.diff(begins)
+            total += len(ids)
+        open_ = np.flatnonzero(~seldom[node])
+        kinds, node = kinds[~seldom], (np.cumsum(~seldom) - 1)[node[open_]]
         nodes_word, nodes_skip, nodes_from = kinds, [()] * len(kinds), np.zeros(len(kinds), np.int64)
-        open_ = np.arange(len(word))
         while len(open_):
             spelled = [words[w] for w in nodes_word.tolist()]
             ids, begins, path, begin = self._without_dropout(spelled) if nodes_word is kinds else self._merges(spelled, nodes_skip)
@@ -337,17 +348,17 @@ class Encoder:
 
     def encode(self, texts: list[str | None], doc_keys: list[int]) -> list[np.ndarray]:
         """Ids of each text; null and empty texts have none."""
-        cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
+        flat, sizes = _cut([(" " + t).encode("utf-8", "surrogatepass") if t else b"" for t in texts])
         if not len(flat):
             return [np.zeros(0, np.int32) for _ in texts]
+        flat = flat.dictionary_encode()
         number = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         salt = np.repeat(np.array(doc_keys, np.uint64), sizes) + number.astype(np.uint64) * np.uint64(K2)
         salt = (salt ^ (salt >> np.uint64(31))) * np.uint64(K1)
-        words, word = flat.dictionary.to_pylist(), flat.indices.to_numpy().astype(np.int64)
-        crc = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)
-        long = (pc.utf8_length(flat.dictionary).to_numpy() > LONG_CHUNK)[word]
+        spelled, word = flat.dictionary.to_pylist(), flat.indices.to_numpy().astype(np.int64)
+        crc = np.fromiter(map(zlib.crc32, spelled), np.uint64, len(spelled))
+        words = [w.decode("utf-8", "surrogatepass") for w in spelled]
+        long = (np.fromiter(map(len, words), np.int64, len(words)) > LONG_CHUNK)[word]
         first, spread = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
         short = np.flatnonzero(~long)
         ids, first[short], spread[short] = self.segment_all(words, word[short], self.chunk_keys(crc[word[short]], salt[short]))
@@ -379,6 +390,22 @@ class Encoder:
         return text[1:]
 
 
+def _cut(texts: list[bytes]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The chunks of all texts in a row, as CHUNK finds them, and how many each text has."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    data = b"".join(texts)
+    letters = np.frombuffer(data, np.uint8)
+    gap, feed = letters == GAP, letters == FEED
+    begins = feed.copy()
+    begins[1:] |= feed[:-1] | (gap[1:] & ~gap[:-1])
+    ends = np.cumsum(sizes)
+    begins[(ends - sizes)[sizes > 0]] = True
+    at = np.flatnonzero(begins)
+    chunks = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(data)])
+    return chunks, np.diff(np.searchsorted(at, np.append(0, ends)))
+
+
 def _picked(values: np.ndarray, begin: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs ``at`` of ``values``, which begin at ``begin``, one after the other, and where each begins."""
     size = begin[at + 1] - begin[at]
@@ -405,15 +432,15 @@ def encode_documents(
         encoder = None
         for batch in batches:
             encoder = encoder or Encoder(shared.value, dropout, seed)
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            ids, sizes = batch.column("doc_id").to_pylist(), pc.utf8_length(batch.column("text")).fill_null(0).to_pylist()
             places = list(zip(*[batch.column(c).to_pylist() for c in ("doc_id", *place)], strict=True))
             at = 0
             while at < len(ids):
                 end, size = at, 0
                 while end < len(ids) and (end == at or size < BATCH_CHARACTERS):
-                    size += len(texts[end] or "")
+                    size += sizes[end]
                     end += 1
-                some = texts[at:end]
+                some = batch.column("text")[at:end].to_pylist()  # not all of a batch at once
                 tokens = encoder.encode(some, [
                     int.from_bytes(blake2b(":".join(map(str, p)).encode(), digest_size=8).digest(), "little") for p in places[at:end]])
                 ids_in_a_row = np.concatenate(tokens)

@@ -255,6 +255,33 @@ def test_every_place_of_a_word_is_segmented_by_its_own_key():
     assert len(found) > 8 and found.most_common(1)[0][0] == tuple(plain.encode(["international"], [5])[0].tolist())
 
 
+def test_places_of_seldom_words_are_merged_once_and_not_kept(monkeypatch):
+    dropping, merged = bpe.Encoder(open(bpe.MODEL_FILE, "rb").read()), []
+    merge_all = dropping.merge_all
+    monkeypatch.setattr(dropping, "merge_all", lambda chunks, *rest: merged.extend(chunks) or merge_all(chunks, *rest))
+    words = [f" word{i}segmentation" for i in range(2000)]
+    word = np.append(np.arange(2000), np.arange(500))
+    keys = dropping.chunk_keys(np.array([zlib.crc32(words[w].encode()) for w in word], np.uint64), np.arange(2500, dtype=np.uint64))
+    ids, first, size = dropping.segment_all(words, word, keys)
+    for i, w in enumerate(word.tolist()):
+        assert ids[first[i] : first[i] + size[i]].tolist() == dropping.agenda(words[w], i)
+    assert len(merged) == 2500 and not dropping.known
+    # a word of many places is kept, and its one place in the next batch starts from there
+    dropping.segment_all(words, np.zeros(9, np.int64), keys[:9])
+    assert list(dropping.known) == words[:1]
+    ids, first, size = dropping.segment_all(words, np.zeros(1, np.int64), keys[:1])
+    assert ids[first[0] : first[0] + size[0]].tolist() == dropping.agenda(words[0], 0)
+
+
+def test_chunks_of_bytes_are_those_of_the_pattern():
+    texts = ["", " ", "\n", "a", " a  b ", "a\n\nb\n", "\n a", "日本 😀  \u2581x\n", "tab\t \r\n ", "   ", "", "end"]
+    chunks, sizes = bpe._cut([t.encode() for t in texts])
+    assert [c.decode() for c in chunks.to_pylist()] == [c for t in texts for c in bpe.CHUNK.findall(t)]
+    assert sizes.tolist() == [len(bpe.CHUNK.findall(t)) for t in texts]
+    chunks, sizes = bpe._cut([b"", b""])
+    assert len(chunks) == 0 and sizes.tolist() == [0, 0]
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     sf_dir = "/root/testdata/sf0.01"
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
