@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -446,6 +447,23 @@ def test_search_equals_brute_force(docs, rows, monkeypatch):
         assert [d for _, d in sorted(got[q])] == [d for _, d in sorted(scored)[: search.TOP]]
 
 
+def test_an_index_is_built_within_few_bytes_per_posting():
+    """Chunks with 400,000 postings, of which queries can meet two thirds."""
+    rng, chunks, documents, words = np.random.default_rng(3), [], 500, 300
+    for at in range(0, 4000, documents):
+        terms = np.concatenate([rng.permutation(900)[: words // 3] for _ in range(documents)])
+        head = [np.arange(at, at + documents), np.ones(documents), np.full(documents, words), np.full(documents, words // 3)]
+        chunks.append(search.pack(*(c.astype(np.int64) for c in (*head, terms, rng.integers(1, 9, len(terms))))))
+    local = np.arange(0, 900)[np.arange(900) % 3 > 0]
+    tracemalloc.start()
+    index = search.Index(local, local, np.ones(len(local)), chunks, float(words))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    postings = len(index.its_terms)
+    assert 260_000 < postings < 275_000
+    assert peak < 50 * postings
+
+
 def test_search_skips_blocks_and_loses_nothing():
     """Whole texts as queries, then a seldom word with one that all texts have, whose blocks without the first are of no use."""
     rng = np.random.default_rng(5)
