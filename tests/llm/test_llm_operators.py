@@ -447,6 +447,58 @@ def test_search_equals_brute_force(docs, rows, monkeypatch):
         assert [d for _, d in sorted(got[q])] == [d for _, d in sorted(scored)[: search.TOP]]
 
 
+def test_rows_to_merge_grow_with_the_queries_and_not_with_the_shards(docs, rows, monkeypatch):
+    """Shards of a few documents, and queries that more than one task holds."""
+    made, real = docs.sparkSession.sparkContext.accumulator(0), search._searched
+
+    def counted(*args):
+        run = real(*args)
+
+        def counting(batches):
+            for batch in run(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return counting
+
+    expected = sorted(search.search_every_20th(docs).collect())
+    queries = sum(r.doc_id % 20 == 0 for r in rows)
+    monkeypatch.setattr(search, "_searched", counted)
+    monkeypatch.setattr(search, "HELD_BYTES", 2000, raising=False)
+    monkeypatch.setattr(search, "FEW", 2, raising=False)
+    monkeypatch.setattr(search, "SEARCHERS", 3, raising=False)
+    monkeypatch.setattr(search, "SHARD_BYTES", sum(len(r.text or "") for r in rows) // 24)
+    assert sorted(search.search_every_20th(docs).collect()) == expected
+    assert search.TOP * queries <= made.value <= 3 * search.TOP * queries
+
+
+def test_queries_answered_together_have_the_results_of_one_by_one(monkeypatch):
+    """Two vocabularies, so that tiles are left out; copies, that tie; documents without an id or a word; queries without a known term."""
+    rng, head, flat, texts = np.random.default_rng(11), [], [], []
+    share = 1 / np.arange(1, 401)
+    for i in range(1500):
+        text = Counter((400 * (i % 2) + rng.choice(400, i % 97, p=share / share.sum())).tolist())
+        texts.append(texts[i - 40] if i % 50 == 49 else text)
+        head.append((5000 - i if i % 200 != 3 else 0, i % 200 != 3, sum(texts[i].values()), len(texts[i])))
+        flat += sorted(texts[i].items())
+    having = Counter(t for c in texts for t in c)
+    weights = np.array([search.idf(len(texts), having[t]) for t in range(800)])
+    mean = sum(h[2] for h in head) / len(head)
+    local, chunk = np.arange(800), search.pack(*np.array(head, np.int64).T, *np.array(flat, np.int64).T)
+    index = search.Index(local, local, weights, [chunk], mean)
+    queries = [np.array(sorted(c), np.int64) for c in texts[::7]] + [np.array([900, 950]), np.array([1, 2, 401, 402, 900])]
+    single = [index.search(q) for q in queries]
+    for seldom, dense, tile, together in ((32, 4096, 64, 1000), (4, 20, 100, 7), (10**9, 4096, 2048, 3)):
+        for name, value in (("SELDOM", seldom), ("DENSE", dense), ("TILE", tile), ("TOGETHER", together)):
+            monkeypatch.setattr(search, name, value)
+        index.__dict__.pop("_tiles", None)
+        assert list(index.search_together(queries, [0.0] * len(queries))) == single
+        # with a threshold: at least all that reach it
+        floors = [found[4][1] if len(found) > 4 else 0.0 for found in single]
+        for found, one, floor in zip(index.search_together(queries, floors), single, floors, strict=True):
+            assert [x for x in found if x[1] >= floor] == [x for x in one if x[1] >= floor]
+
+
 def test_an_index_is_built_within_few_bytes_per_posting():
     """Chunks with 400,000 postings, of which queries can meet two thirds."""
     rng, chunks, documents, words = np.random.default_rng(3), [], 500, 300
