@@ -497,6 +497,15 @@ def test_queries_answered_together_have_the_results_of_one_by_one(monkeypatch):
         floors = [found[4][1] if len(found) > 4 else 0.0 for found in single]
         for found, one, floor in zip(index.search_together(queries, floors), single, floors, strict=True):
             assert [x for x in found if x[1] >= floor] == [x for x in one if x[1] >= floor]
+    # a task's files, in parts of a few queries: two shards alike give each result twice
+    asked, keys = search.Asked(search.TOP), [None, *range(1, len(queries))]
+    for part in (slice(0, 50), slice(50, None)):
+        asked.add(keys[part], [search.pack(np.diff(q, prepend=0)) for q in queries[part]])
+    asked.search(index)
+    asked.search(index)
+    got = [tuple(r.values()) for batch in asked.rows() for r in batch.to_pylist()]
+    asked.close()
+    assert got == [(key, *x) for key, one in zip(keys, single, strict=True) for x in [y for y in one for _ in range(2)][: search.TOP]]
 
 
 def test_an_index_is_built_within_few_bytes_per_posting():
