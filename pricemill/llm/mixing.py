@@ -87,9 +87,10 @@ def draws(sources: DataFrame) -> DataFrame:
     ordered = Window.orderBy("sid")
     plan = plan.withColumn("first", F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
     plan = plan.withColumn("all", F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    # a hot source has most of the draws: its range is dealt out in pieces before it is spelled out
+    # a hot source has most of the draws: its range is dealt out in pieces before it is spelled out; to a fixed number of
+    # partitions, as few bytes of pieces, which would be put together in one task, are many draws
     pieces = plan.where("n > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(DRAWS_PER_ROW).cast("long"))).alias("from"))
-    pieces = pieces.repartition("sid", "from")
+    pieces = pieces.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     drawn = pieces.select("*", F.explode(F.sequence("from", F.least(F.col("from") + DRAWS_PER_ROW, F.col("n")) - 1)).alias("draw"))
     drawn = drawn.withColumn("pass", F.floor(F.col("draw") / F.col("blocks")).cast("long"))
     drawn = drawn.withColumn("k", F.col("draw") % F.col("blocks"))
@@ -117,7 +118,8 @@ def pieces_of(placed: DataFrame, drawn: DataFrame) -> DataFrame:
     parts = placed.where("size > 0").select(
         "sid", "row", "start", end.alias("end"),
         F.explode(F.sequence(F.floor(start / BLOCK).cast("long"), F.floor((end - 1) / BLOCK).cast("long"))).alias("block"))
-    uses = drawn.select("sid", "block", "words", "shard", "slot")
+    # merged: the draws grow with the words, but look as small as the pieces that they are spelled out from, and would be broadcast
+    uses = drawn.select("sid", "block", "words", "shard", "slot").hint("merge")
     met = parts.join(uses, ["sid", "block"])
     first = F.greatest(F.col("start"), F.col("block") * BLOCK)
     last = F.least(F.col("end"), F.col("block") * BLOCK + F.col("words"))

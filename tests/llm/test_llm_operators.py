@@ -223,6 +223,19 @@ def test_mix_has_shards_of_interleaved_blocks(docs, awkward, monkeypatch):
     assert mixing.mixed_documents(awkward.limit(0)).count() == 0
 
 
+def test_drawn_blocks_are_dealt_and_not_broadcast(docs):
+    """The draws grow with the words: they meet the documents in a merge join, and no single task spells them all out."""
+    sized = mixing.sized_documents(docs)
+    sources = mixing.source_targets(sized)
+    placed = mixing.place_documents(sized, sources, 1000, [F.col("doc_id")])
+    met = mixing.pieces_of(placed, mixing.draws(sources))
+    met.collect()
+    text = met._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    above = text[: text.index("sid#", text.index("SortMergeJoin"))] if "SortMergeJoin" in text else text
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in above
+    assert "Exchange RoundRobinPartitioning" in text
+
+
 def test_bpe_equals_the_library_and_decodes(docs, rows):
     import sentencepiece
 
