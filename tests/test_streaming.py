@@ -74,3 +74,16 @@ def test_a_stop_in_the_middle_of_a_batch(arriving, monkeypatch, stage):
     assert len(calls) == 2
     load(arriving)
     assert loaded(arriving) == arriving["expected"]
+
+
+@pytest.mark.parametrize("few", [64, 0])
+def test_months_of_few_landed_files_are_not_dealt_again(arriving, monkeypatch, few):
+    """Landed files hold one month each; only a month of many files is gathered anew."""
+    done, seen = streaming.write_periods, []
+    monkeypatch.setattr(streaming, "FEW_FILES", few)
+    monkeypatch.setattr(streaming, "write_periods", lambda df, path, **options: (seen.append(options), done(df, path, **options)))
+    for part in arriving["parts"]:
+        arriving["deliver"](part)
+    load(arriving)
+    assert seen == [{"gathered": few > 0}] * 3
+    assert loaded(arriving) == arriving["expected"]
