@@ -1,13 +1,14 @@
 """What plans and files of the line queries look like, whatever the number of lines."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks.domain import domain
 from pricemill.operators import buys, weighting
-from pricemill.session import write_out
+from pricemill.session import DROP_SHUFFLES, write_out
 
 
 def plan(df) -> str:
@@ -158,3 +159,86 @@ def test_lines_bring_the_sides_of_their_outlets(spark):
         return df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
 
     assert joins(after) == joins(brought) == joins(before) - 3
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set[str]:
+        blocks = manager.getAllBlocks()
+        return {name for i in range(blocks.size()) if (name := blocks.apply(i).name()).startswith("shuffle_")}
+
+    before = shuffles()
+    kept = write_out(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):  # files go in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert kept.count() == 7
+    assert spark.conf.get(DROP_SHUFFLES, None) in (None, "false")
+
+
+LINES = [  # line_id, product, period, provider, price, buyer's class
+    ("a", 1, "200001", 7, 0.01, "PHARMACY"), ("a", 1, "200001", 7, 9.0, "WHOLESALER"), ("a", 2, "200001", 7, 9.0, "WHOLESALER"),
+    ("b", 1, "200001", 7, 0.02, "PHARMACY"), ("c", 2, "200001", 7, 8.0, "PHARMACY"), (None, 1, "200001", 7, 7.0, "WHOLESALER"),
+    (None, 2, "200001", 7, 6.0, "WHOLESALER"), (None, None, "200001", 7, 0.01, "WHOLESALER"), ("d", None, "200001", 7, 5.0, "PHARMACY"),
+    ("e", 3, "200001", 7, None, "PHARMACY"), ("f", 1, "200001", 7, 0.03, "PHARMACY"), ("f", 1, "200001", 7, 0.03, "PHARMACY"),
+    ("1|200001|7", 2, "200001", 7, 4.0, "PHARMACY"), ("1|200001|7", 2, "200001", 7, 4.0, "WHOLESALER"), (None, 1, "200001", 7, 3.0, "PHARMACY"),
+]
+
+
+def test_low_groups_by_line_are_those_by_group(spark):
+    lines = spark.createDataFrame(LINES, "line_id string, pcmdty_id int, period_cd string, dsupp_proc_id int, pur_prc_amt double, buyer_ppp_typ_cd string")
+    some = lines.filter("coalesce(pur_prc_amt, 1) > 0.015")
+    for pct in (40.0, 50.0, 60.0, 0.0):
+        kept = buys.drop_low_price_groups(some, max_pct=pct, population=lines)
+        dealt = buys.drop_low_price_groups(some, max_pct=pct, population=lines, dealt=True)
+        assert sorted(map(str, dealt.drop(buys.LINE_KEY).collect())) == sorted(map(str, kept.collect()))
+        once = buys.drop_duplicate_lines(dealt, population=lines, dealt=True).drop(buys.LINE_KEY)
+        assert sorted(map(str, once.collect())) == sorted(map(str, buys.drop_duplicate_lines(kept, population=lines).collect()))
+
+
+def without_broadcast(spark, make) -> str:
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan(make())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_cleaned_lines_are_dealt_by_group_without_their_other_columns(spark, sf_dir):
+    d = domain(spark, sf_dir, "name")
+    priced, lists, products = d.stored("priced"), d.stored_list("L"), d.stored("products")
+    text = without_broadcast(spark, lambda: buys.filtered_buys(priced, lists, products, d.class_bands))
+    by_group = re.findall(r"Exchange hashpartitioning\(pcmdty_id#\d+, period_cd#\d+, dsupp_proc_id#\d+", text)
+    assert len(by_group) == 1 and "LeftAnti" in text and text.count("LeftAnti") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_line#", text)) == 1
+
+
+def test_sold_outlets_meet_all_prices_of_their_root_in_one_exchange(spark, sf_dir):
+    d = domain(spark, sf_dir, "name")
+    clean, sales = d.both_sides()
+    outlets = write_out(d.outlets)
+    text = without_broadcast(spark, lambda: weighting.outlet_price_fallback(clean, sales, outlets))
+    # outlets twice, sales and transactions by outlet, and both by root
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 5
+    text = without_broadcast(spark, lambda: weighting.missing_outlets(sales, clean, outlets))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 3
+
+
+def test_prices_of_outlets_listed_twice_or_without_root(spark):
+    """Own mean of each state and channel, else the root's in the state, else the root's, else 0."""
+    outlets = spark.createDataFrame(
+        [(1, "c1", "r", "SP", 0), (1, "c1", "r", "SP", 0), (2, "c2", "r", "SP", 0), (3, "c3", "r", "RJ", 1), (4, "c4", None, "SP", 0),
+         (5, "c5", None, "SP", 0), (6, "c6", "q", "MG", 0), (7, "c7", "r", None, 0)],
+        "outlet_code int, cnpj_cd string, cnpj_root_cd string, st_cd string, is_otlt_chain_ind int",
+    ).withColumn("ppp_fisc_actvty_class_cd", F.lit("PHARMACY"))
+    sales = spark.createDataFrame([("200001", 9, 1, o, 10) for o in range(1, 9)], "period_cd string, fcc int, wholesaler_code int, outlet_code int, sum_units int")
+    trans = spark.createDataFrame(
+        [("200001", 9, 1, "SP", 0, 2.0), ("200001", 9, 1, "SP", 0, 4.0), ("200001", 9, 1, "RJ", 0, 9.0), ("200001", 9, 4, "SP", 0, 7.0)],
+        "period_cd string, pcmdty_id int, buyer_otlt_cd int, buyer_st_cd string, buyer_is_otlt_chain_ind int, ppp_prc_amt double",
+    ).withColumn("ppp_prc_amt", F.col("ppp_prc_amt").cast("decimal(22,8)"))
+    found = sorted((r.outlet_code, float(r.prc_final)) for r in weighting.outlet_price_fallback(trans, sales, outlets).collect())
+    assert found == [(1, 3.0), (1, 3.0), (1, 9.0), (1, 9.0), (2, 5.0), (3, 5.0), (4, 7.0), (5, 0.0), (6, 0.0), (7, 5.0)]
