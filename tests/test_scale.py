@@ -242,3 +242,8 @@ def test_prices_of_outlets_listed_twice_or_without_root(spark):
     ).withColumn("ppp_prc_amt", F.col("ppp_prc_amt").cast("decimal(22,8)"))
     found = sorted((r.outlet_code, float(r.prc_final)) for r in weighting.outlet_price_fallback(trans, sales, outlets).collect())
     assert found == [(1, 3.0), (1, 3.0), (1, 9.0), (1, 9.0), (2, 5.0), (3, 5.0), (4, 7.0), (5, 0.0), (6, 0.0), (7, 5.0)]
+    # neither sales nor transactions of an unknown month or product meet
+    for column, code in (("period_cd", "period_cd"), ("fcc", "pcmdty_id")):
+        lost = weighting.outlet_price_fallback(trans.withColumn(code, F.lit(None).cast(trans.schema[code].dataType)),
+                                               sales.withColumn(column, F.lit(None).cast(sales.schema[column].dataType)), outlets)
+        assert [float(r.prc_final) for r in lost.collect()] == [0.0] * 8
